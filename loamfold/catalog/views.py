@@ -143,6 +143,8 @@ def view_parts(name: str, d: Dialect) -> tuple[str, list[tuple[str, str]], str |
         return "events", samples, "event_id % 8 <> 0"
     if name == "test":
         return "events", [(n, e) for n, e in samples if n not in NO_TEST_COLUMNS], test_only
+    if name == "test_measured":
+        return "events", samples, test_only
     if name == "test_undated":
         dated = NO_TEST_COLUMNS | {"start_date", "end_date"}
         return "events", [(n, e) for n, e in samples if n not in dated], test_only

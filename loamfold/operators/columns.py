@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loamfold.functions.fixed import SEED
 from loamfold.operators.quantiles import exact_medians
 from loamfold.session import stored
 
@@ -96,3 +97,9 @@ def coalesce_alternates(df: DataFrame, columns: Sequence[str], suffix: str = "_d
         {c: F.coalesce(F.col(c), F.col(f"{c}{suffix}")) if c in df.columns else F.col(f"{c}{suffix}") for c in present}
     )
     return filled.drop(*[f"{c}{suffix}" for c in present])
+
+
+def seeded_sample(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
+    """At most ``n`` rows by the order of a seeded hash of the key; does not depend on the partitioning."""
+    mixed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    return df.orderBy(mixed, key).limit(n)

@@ -120,11 +120,12 @@ def nearest_centre(df: DataFrame, centres: DataFrame, lat: Column, lon: Column)
     ``centres`` is ``(cluster, c_lat, c_lon)`` with a fixed number of rows (the k of
     the clustering); it travels as one array in a scalar subquery.
     """
-    row = centres.agg(F.array_sort(F.collect_list(F.struct("cluster", "c_lat", "c_lon"))).alias("list")).scalar()
+    listed = centres.agg(F.array_sort(F.collect_list(F.struct("cluster", "c_lat", "c_lon"))).alias("list")).scalar()
 
     def candidate(c: Column) -> Column:
         distance = F.sqrt(F.pow(lat - c["c_lat"], F.lit(2.0)) + F.pow(lon - c["c_lon"], F.lit(2.0)))
         return F.struct(distance.alias("d"), c["cluster"].alias("k"))
 
-    best = df.withColumn("_best", F.array_min(F.transform(row, candidate)))
-    return best.withColumns({"cluster": F.col("_best.k"), "centre_distance": F.col("_best.d")}).drop("_best")
+    best = df.withColumn("_centres", listed).withColumn("_best", F.array_min(F.transform("_centres", candidate)))
+    named = best.withColumns({"cluster": F.col("_best.k"), "centre_distance": F.col("_best.d")})
+    return named.drop("_best", "_centres")
