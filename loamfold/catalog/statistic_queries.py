@@ -20,7 +20,7 @@ def union_all(items, template: str) -> str:
 
 @query(
     "agg_shape",
-    """SELECT 'train' AS table_name, count(*) AS n_rows, 25 AS n_cols FROM train
+    """SELECT 'train' AS table_name, count(*) AS n_rows, 26 AS n_cols FROM train
        UNION ALL SELECT 'test', count(*), 7 FROM test UNION ALL SELECT 'mask', count(*), 14 FROM mask""",
     "train test mask",
 )
@@ -91,7 +91,7 @@ def agg_group_median_known(t: Tables):
     union_all(
         TARGETS,
         "SELECT '§' AS metric, count(§) AS count, round(avg(§), 6) AS mean, round(stddev_samp(§), 6) AS std, "
-        "min(§) AS min, max(§) AS max, "
+        "round(min(§), 6) AS min, round(max(§), 6) AS max, "
         + ", ".join(f"round(quantile_cont(§, {p / 100}), 6) AS p{p}" for p in (10, 25, 50, 75, 90))
         + " FROM train",
     ),

@@ -1,4 +1,9 @@
-"""Correlation matrices over complete pairs, safe for constant columns."""
+"""Correlation matrices over complete pairs, safe for constant columns.
+
+A row is turned into one small record per pair of columns and the records
+are combined by pair number on the map side, so only one partial result per
+pair and task is shuffled, whatever the number of rows.
+"""
 
 from __future__ import annotations
 
@@ -17,23 +22,48 @@ def safe_corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py))
 
 
-def _pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]], cells: Sequence[Column]) -> DataFrame:
-    wide = df.agg(*[cell.alias(f"r{i}") for i, cell in enumerate(cells)])
-    entries = [
-        F.struct(F.lit(a).alias("x_name"), F.lit(b).alias("y_name"), F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select(F.inline(F.array(*entries)))
-
-
 def lower_triangle(columns: Sequence[str], diagonal: bool) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[: i + 1 if diagonal else i]]
 
 
+def _names(column: Column, names: Sequence[str]) -> Column:
+    return F.get(F.lit(list(names)), column)
+
+
+def pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``(pair, x, y)`` for each row and pair with both values present."""
+    columns = sorted({c for pair in pairs for c in pair})
+    place = {c: i for i, c in enumerate(columns)}
+    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("_v"))
+    numbered = values.select("_v", F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))).alias("pair"))
+    first, second = ([place[pair[side]] for pair in pairs] for side in (0, 1))
+    picked = numbered.select(
+        "pair",
+        F.get("_v", F.get(F.lit(first), F.col("pair"))).alias("x"),
+        F.get("_v", F.get(F.lit(second), F.col("pair"))).alias("y"),
+    )
+    return picked.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+
+
+def _all_pairs(results: DataFrame, pairs: Sequence[tuple[str, str]], measures: Sequence[str]) -> DataFrame:
+    """One row per pair, also for pairs without a complete row."""
+    numbers = results.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
+    return numbers.join(results, "pair", "left").select(
+        _names(F.col("pair"), [a for a, _ in pairs]).alias("x_name"),
+        _names(F.col("pair"), [b for _, b in pairs]).alias("y_name"),
+        *measures,
+    )
+
+
+def _plain_corr(x: str, y: str) -> Column:
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Lower triangle without the diagonal, all pairs in one pass: ``(x_name, y_name, r)``."""
     pairs = lower_triangle(columns, diagonal=False)
-    return _pair_rows(df, pairs, [safe_corr(F.col(a), F.col(b)) for a, b in pairs])
+    results = pair_rows(df, pairs).groupBy("pair").agg(_plain_corr("x", "y").alias("r"))
+    return _all_pairs(results, pairs, ["r"])
 
 
 def spearman(df: DataFrame, columns: Sequence[str], key: str = "ID", parts: int | None = None) -> DataFrame:
@@ -45,30 +75,48 @@ def spearman(df: DataFrame, columns: Sequence[str], key: str = "ID", parts: int
     ``key`` must be unique.
     """
     columns = list(columns)
-    present = {c: f"_has_{i}" for i, c in enumerate(columns)}
+    width = len(columns)
+    present = [f"_has_{i}" for i in range(width)]
     flagged = df.select(
         key,
-        *[F.col(c).cast("double").alias(c) for c in columns],
-        *[F.col(c).isNotNull().cast("bigint").alias(p) for c, p in present.items()],
+        *[F.col(c).cast("double").alias(f"{i}") for i, c in enumerate(columns)],
+        *[F.col(c).isNotNull().cast("int").alias(p) for c, p in zip(columns, present)],
+    )
+    rows = (
+        flagged.unpivot([key, *present], [f"{i}" for i in range(width)], "place", "value")
+        .where(F.col("value").isNotNull())
+        .withColumn("place", F.col("place").cast("int"))
     )
-    rows = flagged.unpivot([key, *present.values()], columns, "metric", "value").where(F.col("value").isNotNull())
-    counts = rows.groupBy("metric", "value").agg(*[F.sum(p).alias(p) for p in present.values()])
-    ranked = cumulated(counts, ["metric"], ["value"], list(present.values()), parts)
+    counts = rows.groupBy("place", "value").agg(*[F.sum(p).alias(p) for p in present])
+    ranked = cumulated(counts, ["place"], ["value"], present, parts)
     tables = ranked.select(
-        "metric",
+        "place",
         "value",
-        F.array(*[F.col(f"before_{p}") + (F.col(p) + 1) / F.lit(2.0) for p in present.values()]).alias("ranks"),
+        F.array(*[F.col(f"before_{p}") + (F.col(p) + 1) / F.lit(2.0) for p in present]).alias("ranks"),
     )
     per_row = (
-        rows.select(key, "metric", "value")
-        .join(tables, ["metric", "value"])
+        rows.select(key, "place", "value")
+        .join(tables, ["place", "value"])
         .groupBy(key)
-        .agg(*[F.max(F.when(F.col("metric") == c, F.col("ranks"))).alias(c) for c in columns])
+        .agg(F.collect_list(F.struct("place", "ranks")).alias("entries"))
+    )
+    # A row has at most one entry per column, so its pairs are bounded by the matrix.
+    pairs = (
+        per_row.select("entries", F.explode("entries").alias("a"))
+        .select("a", F.explode("entries").alias("b"))
+        .where(F.col("a.place") >= F.col("b.place"))
+        .select(
+            F.col("a.place").alias("i"),
+            F.col("b.place").alias("j"),
+            F.get("a.ranks", F.col("b.place")).alias("x"),
+            F.get("b.ranks", F.col("a.place")).alias("y"),
+        )
+    )
+    results = pairs.groupBy("i", "j").agg(_plain_corr("x", "y").alias("r"))
+    pair_number = (F.col("i") * (F.col("i") + 1) / 2).cast("int") + F.col("j")
+    return _all_pairs(
+        results.select(pair_number.alias("pair"), "r"), lower_triangle(columns, diagonal=True), ["r"]
     )
-    pairs = lower_triangle(columns, diagonal=True)
-    place = {c: i for i, c in enumerate(columns)}
-    cells = [safe_corr(F.col(a)[place[b]], F.col(b)[place[a]]) for a, b in pairs]
-    return _pair_rows(per_row, pairs, cells)
 
 
 def transformed(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -76,22 +124,22 @@ def transformed(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
     A logarithm is used only if the column has no negative value in the pair's rows.
     """
-    both = [F.col(a).isNotNull() & F.col(b).isNotNull() for a, b in pairs]
-    cells = []
-    for ok, (a, b) in zip(both, pairs):
-        x, y = F.when(ok, F.col(a)), F.when(ok, F.col(b))
-        lx, ly = (F.log1p(F.when(v >= 0, v)) for v in (x, y))
-        x_log, y_log = F.min(x) >= 0, F.min(y) >= 0
-        semi, loglog = safe_corr(x, ly), safe_corr(lx, ly)
-        mixed = F.when(x_log & y_log, loglog).when(y_log, semi).when(x_log, safe_corr(lx, y))
-        cells.append(
-            F.struct(
-                F.lit(a).alias("x_name"),
-                F.lit(b).alias("y_name"),
-                safe_corr(x, y).alias("r_raw"),
-                F.when(y_log, semi).alias("r_semilog"),
-                F.coalesce(mixed, safe_corr(x, y)).alias("r_log"),
-            )
-        )
-    wide = df.agg(F.array(*cells).alias("cells"))
-    return wide.select(F.inline("cells"))
+    logs = pair_rows(df, pairs).withColumns({f"l{v}": F.log1p(F.when(F.col(v) >= 0, F.col(v))) for v in ("x", "y")})
+    facts = logs.groupBy("pair").agg(
+        (F.min("x") >= 0).alias("x_log"),
+        (F.min("y") >= 0).alias("y_log"),
+        safe_corr(F.col("x"), F.col("y")).alias("r_raw"),
+        safe_corr(F.col("x"), F.col("ly")).alias("semi"),
+        safe_corr(F.col("lx"), F.col("y")).alias("reverse"),
+        safe_corr(F.col("lx"), F.col("ly")).alias("both"),
+    )
+    chosen = (
+        F.when(F.col("x_log") & F.col("y_log"), F.col("both"))
+        .when(F.col("y_log"), F.col("semi"))
+        .when(F.col("x_log"), F.col("reverse"))
+        .otherwise(F.col("r_raw"))
+    )
+    results = facts.select(
+        "pair", "r_raw", F.when(F.col("y_log"), F.col("semi")).alias("r_semilog"), chosen.alias("r_log")
+    )
+    return _all_pairs(results, pairs, ["r_raw", "r_semilog", "r_log"])

@@ -38,7 +38,7 @@ def quantiles_of_long(
     """Exact quantiles of ``value`` per ``keys``: ``(*keys, n, q0, q1, …)``.
 
     A group with no value keeps a row with ``n = 0`` and NULL quantiles. Of a
-    group with more than ``10 * accuracy`` values, at most about
+    group with more than ``4 * accuracy`` values, at most about
     ``4 / accuracy`` of the distinct values reach the final sort, per fraction.
     """
     keys = list(keys)
@@ -52,7 +52,7 @@ def quantiles_of_long(
     )
     brackets = []
     for i, fraction in enumerate(fractions):
-        whole = F.col("n") <= 10 * accuracy
+        whole = F.col("n") <= 4 * accuracy
         low = F.lit(True) if fraction <= slack else whole
         high = F.lit(True) if fraction >= 1.0 - slack else whole
         brackets.append(F.when(low, F.col("_least")).otherwise(F.col("_probes")[2 * i]).alias(f"_lo{i}"))

@@ -14,16 +14,17 @@ from loamfold.session import stored
 
 
 def per_column(df: DataFrame, columns: Sequence[str], measures: dict[str, callable], keys: Sequence[str] = ()) -> DataFrame:
-    """One aggregate pass with every measure of every column, turned to rows ``(*keys, metric, measures…)``."""
-    cells = [fn(F.col(c)).alias(f"{name}__{c}") for c in columns for name, fn in measures.items()]
-    wide = df.groupBy(*keys).agg(*cells)
-    entries = F.array(
-        *[
-            F.struct(F.lit(c).alias("metric"), *[F.col(f"{name}__{c}").alias(name) for name in measures])
-            for c in columns
-        ]
-    )
-    return wide.select(*keys, F.inline(entries))
+    """Every measure of every column, as rows ``(*keys, metric, measures…)``.
+
+    The columns are stacked and combined by name on the map side: a few aggregates
+    over one value column stay within generated code, hundreds over a wide row do not.
+    """
+    stacked = df.select(*keys, *columns).unpivot(list(keys), list(columns), "metric", "value")
+    results = stacked.groupBy(*keys, "metric").agg(*[fn(F.col("value")).alias(name) for name, fn in measures.items()])
+    if keys:
+        return results
+    names = df.sparkSession.range(len(columns)).select(F.get(F.lit(list(columns)), F.col("id").cast("int")).alias("metric"))
+    return names.join(results, "metric", "left")
 
 
 def shapes(tables: dict[str, DataFrame]) -> DataFrame:
@@ -48,7 +49,8 @@ def column_types(df: DataFrame) -> DataFrame:
 
 def missing_pct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Percentage missing per column, only columns with any."""
-    rates = per_column(df, columns, {"missing_pct": lambda c: F.avg(c.isNull().cast("double")) * 100.0})
+    gaps = df.select(*[F.col(c).isNull().cast("double").alias(c) for c in columns])
+    rates = per_column(gaps, columns, {"missing_pct": lambda c: F.avg(c) * 100.0})
     return rates.where(F.col("missing_pct") > 0)
 
 
