@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamfold.operators.ordering import cumulated
+from loamfold.session import spread
 
 
 def safe_corr(x: Column, y: Column) -> Column:
@@ -34,7 +35,7 @@ def pair_rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``(pair, x, y)`` for each row and pair with both values present."""
     columns = sorted({c for pair in pairs for c in pair})
     place = {c: i for i, c in enumerate(columns)}
-    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("_v"))
+    values = spread(df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("_v")))
     numbered = values.select("_v", F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))).alias("pair"))
     first, second = ([place[pair[side]] for pair in pairs] for side in (0, 1))
     picked = numbered.select(
@@ -83,7 +84,7 @@ def spearman(df: DataFrame, columns: Sequence[str], key: str = "ID", parts: int
         *[F.col(c).isNotNull().cast("int").alias(p) for c, p in zip(columns, present)],
     )
     rows = (
-        flagged.unpivot([key, *present], [f"{i}" for i in range(width)], "place", "value")
+        spread(flagged).unpivot([key, *present], [f"{i}" for i in range(width)], "place", "value")
         .where(F.col("value").isNotNull())
         .withColumn("place", F.col("place").cast("int"))
     )

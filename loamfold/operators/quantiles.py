@@ -4,7 +4,8 @@
 group with a third of all rows cannot afford. Here a mergeable sketch first
 brackets each wanted rank; only the values inside a bracket are then counted
 one by one, everything outside collapses to a few counts per group before the
-shuffle. The result equals ``percentile`` (linear interpolation) exactly.
+shuffle. The result equals ``percentile`` (linear interpolation) exactly, and
+``percentile`` itself is used when the whole table is known to be small.
 """
 
 from __future__ import annotations
@@ -14,15 +15,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamfold.session import stored
+from loamfold.session import spread, stored
 
 ACCURACY = 10_000
+SMALL_TABLE = 200_000
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """One row per key and column: ``(*keys, metric, value)``; NaN becomes NULL."""
-    doubles = df.select(*keys, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    return doubles.unpivot(list(keys), list(columns), "metric", "value")
+    return spread(_doubles(df, columns, keys)).unpivot(list(keys), list(columns), "metric", "value")
+
+
+def _doubles(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    return df.select(*keys, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+
+
+def _fits(df: DataFrame, limit: int) -> bool:
+    """Whether the table has at most ``limit`` rows. Counting reads no column a filter does not need."""
+    return limit > 0 and df.count() <= limit
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -33,7 +43,11 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def quantiles_of_long(
-    rows: DataFrame, keys: Sequence[str], fractions: Sequence[float], accuracy: int = ACCURACY
+    rows: DataFrame,
+    keys: Sequence[str],
+    fractions: Sequence[float],
+    accuracy: int = ACCURACY,
+    small_table: int = SMALL_TABLE,
 ) -> DataFrame:
     """Exact quantiles of ``value`` per ``keys``: ``(*keys, n, q0, q1, …)``.
 
@@ -42,6 +56,9 @@ def quantiles_of_long(
     ``4 / accuracy`` of the distinct values reach the final sort, per fraction.
     """
     keys = list(keys)
+    if _fits(rows, small_table):
+        all_at_once = rows.groupBy(*keys).agg(F.count("value").alias("n"), _percentiles("value", fractions).alias("_q"))
+        return all_at_once.select(*keys, "n", *_numbered("_q", fractions))
     slack = 2.0 / accuracy
     probes = [min(max(p, 0.0), 1.0) for f in fractions for p in (f - slack, f + slack)]
     sketch = rows.groupBy(*keys).agg(
@@ -96,22 +113,43 @@ def quantiles_of_long(
     return out.select(*[bounds[k] for k in keys], "n", *results)
 
 
+def _percentiles(column: str, fractions: Sequence[float]) -> Column:
+    return F.percentile(column, [float(f) for f in fractions])
+
+
+def _numbered(column: str, fractions: Sequence[float]) -> list[Column]:
+    return [F.get(column, F.lit(i)).alias(f"q{i}") for i in range(len(fractions))]
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     fractions: Sequence[float],
     keys: Sequence[str] = (),
     accuracy: int = ACCURACY,
+    small_table: int = SMALL_TABLE,
 ) -> DataFrame:
     """Exact quantiles of several columns: ``(*keys, metric, n, q0, q1, …)``."""
-    return quantiles_of_long(long_form(df, columns, keys), [*keys, "metric"], fractions, accuracy)
+    if not _fits(df, small_table):
+        return quantiles_of_long(long_form(df, columns, keys), [*keys, "metric"], fractions, accuracy, 0)
+    wide = (
+        spread(_doubles(df, columns, keys))
+        .groupBy(*keys)
+        .agg(*[F.struct(F.count(c).alias("n"), _percentiles(c, fractions).alias("_q")).alias(c) for c in columns])
+    )
+    entries = [F.struct(F.lit(c).alias("metric"), F.col(c)["n"].alias("n"), F.col(c)["_q"].alias("_q")) for c in columns]
+    return wide.select(*keys, F.inline(F.array(*entries))).select(*keys, "metric", "n", *_numbered("_q", fractions))
 
 
 def exact_medians(
-    df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), accuracy: int = ACCURACY
+    df: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str] = (),
+    accuracy: int = ACCURACY,
+    small_table: int = SMALL_TABLE,
 ) -> DataFrame:
     """Wide exact medians: one row per key, or one row in all without keys."""
-    medians = exact_quantiles(df, columns, [0.5], keys, accuracy)
+    medians = exact_quantiles(df, columns, [0.5], keys, accuracy, small_table)
     return medians.groupBy(*keys).agg(*[F.max(F.when(F.col("metric") == c, F.col("q0"))).alias(c) for c in columns])
 
 

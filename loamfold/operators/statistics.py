@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loamfold.functions.fixed import DESCRIBE_FRACTIONS, HISTOGRAM_BINS
 from loamfold.functions.nulls import log_positive
 from loamfold.operators.quantiles import exact_medians, exact_quantiles, long_form, quantiles_of_long
-from loamfold.session import stored
+from loamfold.session import spread, stored
 
 
 def per_column(df: DataFrame, columns: Sequence[str], measures: dict[str, callable], keys: Sequence[str] = ()) -> DataFrame:
@@ -19,7 +19,7 @@ def per_column(df: DataFrame, columns: Sequence[str], measures: dict[str, callab
     The columns are stacked and combined by name on the map side: a few aggregates
     over one value column stay within generated code, hundreds over a wide row do not.
     """
-    stacked = df.select(*keys, *columns).unpivot(list(keys), list(columns), "metric", "value")
+    stacked = spread(df.select(*keys, *columns)).unpivot(list(keys), list(columns), "metric", "value")
     results = stacked.groupBy(*keys, "metric").agg(*[fn(F.col("value")).alias(name) for name, fn in measures.items()])
     if keys:
         return results

@@ -61,3 +61,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def shuffle_width(spark: SparkSession) -> int:
     """Number of partitions a shuffle of this session produces."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, for steps that multiply or sort every row.
+
+    A table of fewer files than cores would be read by as many tasks as it has
+    files. Tables with enough files are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loamfold.functions.documents import parse_document
+
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str, columns: Sequence[str] | None = None
@@ -32,8 +34,6 @@ def read_documents(spark: SparkSession, path: str, key_pattern: str = r"([^/]+)\
 
 def usable_documents(documents: DataFrame) -> DataFrame:
     """Documents that can be read; a literal null or broken text is a miss, to be fetched again."""
-    from loamfold.functions.documents import parse_document
-
     return documents.where(parse_document(F.col("text"))["properties"].isNotNull())
 
 
@@ -53,10 +53,10 @@ def missing_names(required: DataFrame, listing: DataFrame) -> DataFrame:
     return required.join(listing, "file_name", "left_anti")
 
 
-def list_folder(spark: SparkSession, path: str) -> DataFrame:
+def list_folder(spark: SparkSession, path: str, name_pattern: str = r"([^/]+)$") -> DataFrame:
     """Names of the files in a folder, on any file system Spark reads; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
+    return files.select(F.regexp_extract("path", name_pattern, 1).alias("file_name")).distinct()
 
 
 def exists(spark: SparkSession, path: str) -> bool:

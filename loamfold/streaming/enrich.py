@@ -17,7 +17,7 @@ def read_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFra
     """The store without its batch column; empty before the first batch."""
     if not exists(spark, store):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(store)
+    return spark.read.schema(schema).parquet(store).drop("batch")
 
 
 def enrich_available(
