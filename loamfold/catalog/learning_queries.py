@@ -118,7 +118,7 @@ def ml_test_average(t: Tables):
 @query(
     "ml_line_scores",
     f"""WITH {LONG}, {FOLDS}, {LINES} SELECT p.target, p.rmse, f.rmse_log FROM
-        (SELECT target, round(sqrt(avg(power(y - greatest(exp(pred_log) - 1e0, 0e0), 2))), 5) AS rmse FROM oof GROUP BY target) p
+        (SELECT target, round(sqrt(avg(power(y - greatest(exp(pred_log) - 1e0, 0e0), 2))), 5) AS rmse FROM oof WHERE pred_log IS NOT NULL GROUP BY target) p
         JOIN (SELECT target, round(avg(e), 6) AS rmse_log FROM (SELECT target, fold, sqrt(avg(power(y_log - pred_log, 2))) AS e
           FROM oof GROUP BY target, fold) GROUP BY target) f USING (target)""",
     "train_numeric",

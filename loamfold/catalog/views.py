@@ -211,7 +211,7 @@ def view_parts(name: str, d: Dialect) -> tuple[str, list[tuple[str, str]], str |
                 ("blue", "2e-2 + l_quantity / 1e3"),
                 ("green", "3e-2 + (l_partkey % 97) / 1e3"),
                 ("red", "4e-2 + l_tax"),
-                ("nir", "2e-1 + l_extendedprice / 1e6"),
+                ("nir", "2e-1 + floor(l_extendedprice / 1e1) / 1e5"),
                 ("nir_narrow", "21e-2 + l_discount"),
                 ("swir1", "1e-1 + (l_orderkey % 200) / 1e3"),
                 ("swir2", "5e-2 + l_linenumber / 1e2"),

@@ -116,6 +116,7 @@ def year_window(start_year: Column, end_year: Column) -> tuple[Column, Column]:
 
 def nearest_centre(df: DataFrame, centres: DataFrame, lat: Column, lon: Column) -> DataFrame:
     """Add ``cluster`` and ``centre_distance`` (degrees) of the nearest centre, ties to the lower number.
+    Both are NULL for a missing coordinate.
 
     ``centres`` is ``(cluster, c_lat, c_lon)`` with a fixed number of rows (the k of
     the clustering); it travels as one array in a scalar subquery.
@@ -126,6 +127,7 @@ def nearest_centre(df: DataFrame, centres: DataFrame, lat: Column, lon: Column)
         distance = F.sqrt(F.pow(lat - c["c_lat"], F.lit(2.0)) + F.pow(lon - c["c_lon"], F.lit(2.0)))
         return F.struct(distance.alias("d"), c["cluster"].alias("k"))
 
-    best = df.withColumn("_centres", listed).withColumn("_best", F.array_min(F.transform("_centres", candidate)))
+    nearest = F.when(lat.isNotNull() & lon.isNotNull(), F.array_min(F.transform("_centres", candidate)))
+    best = df.withColumn("_centres", listed).withColumn("_best", nearest)
     named = best.withColumns({"cluster": F.col("_best.k"), "centre_distance": F.col("_best.d")})
     return named.drop("_best", "_centres")
