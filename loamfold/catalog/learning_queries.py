@@ -47,10 +47,13 @@ LINES = """folded AS (SELECT known.*, walk.fold FROM known JOIN walk USING (targ
       FROM folded f JOIN lines l ON f.target = l.target AND f.fold = l.fold)"""
 
 
+def blocked_train(t: Tables):
+    return t.view("train_numeric").withColumn("spatial_block", block_key(F.col("Latitude"), F.col("Longitude")))
+
+
 def labelled(t: Tables):
     """Labelled rows of all targets with their spatial folds."""
-    train = t.view("train_numeric").withColumn("spatial_block", block_key(F.col("Latitude"), F.col("Longitude")))
-    long = folds.labelled_long(train, TARGETS, ["ID", "spatial_block", "C_total"])
+    long = folds.labelled_long(blocked_train(t), TARGETS, ["ID", "spatial_block", "C_total"])
     return learning.with_log_label(folds.with_target_folds(long))
 
 
@@ -59,6 +62,16 @@ def line_models(t: Tables):
     return rows, learning.fit_lines(rows, "C_total")
 
 
+def first_stage(t: Tables):
+    """Out-of-fold predictions of the straight lines for every training row and target."""
+    train = blocked_train(t)
+    long = folds.labelled_long(train, TARGETS, ["ID", "spatial_block", "C_total"])
+    fold_table = folds.target_folds(long)
+    rows = learning.with_log_label(long.join(fold_table, ["target", "spatial_block"]))
+    lines = learning.fit_lines(rows, "C_total")
+    return learning.line_scatter(train, fold_table, lines, "C_total", TARGETS)
+
+
 @query(
     "ml_group_folds",
     f"WITH {LONG}, {FOLDS} SELECT target, block AS spatial_block, n, CAST(fold AS INT) AS fold FROM walk JOIN sizes USING (target, block)",
@@ -90,9 +103,7 @@ def ml_oof_line(t: Tables):
     recursive=True,
 )
 def ml_oof_scatter(t: Tables):
-    rows, lines = line_models(t)
-    oof = learning.line_oof(rows, lines, "C_total")
-    return rounded(learning.scatter(t.view("train_numeric"), oof, TARGETS), 5)
+    return rounded(first_stage(t), 5)
 
 
 @query(
@@ -111,8 +122,7 @@ def ml_oof_scatter(t: Tables):
 )
 def ml_test_average(t: Tables):
     _, lines = line_models(t)
-    tested = learning.line_test(t.view("test_measured"), lines, "C_total")
-    return rounded(learning.test_average(tested, TARGETS), 5)
+    return rounded(learning.line_test_average(t.view("test_measured"), lines, "C_total", TARGETS), 5)
 
 
 @query(
@@ -176,14 +186,13 @@ def agg_best_iteration(t: Tables):
 def ml_tree_test_average(t: Tables):
     rows, test = tree_rows(t, "Al")
     _, models, _ = learning.boosted_folds(rows, FEATURES, stop_early=False, **TREES)
-    return learning.test_average(learning.boosted_test(test, models, "Al"), ["Al"])
+    return learning.boosted_test_average(test, models, "Al")
 
 
 @query("ml_stack_stage2")
 def ml_stack_stage2(t: Tables):
     """Straight lines as the first stage, trees with the other targets' out-of-fold predictions as the second."""
-    line_rows, lines = line_models(t)
-    first = learning.scatter(t.view("train_numeric"), learning.line_oof(line_rows, lines, "C_total"), TARGETS)
+    first = first_stage(t)
     rows, _ = tree_rows(t, "Mg")
     stacked = joins.stage1_features(rows, first, "Mg", TARGETS)
     cross = [f"oof_{x}" for x in TARGETS if x != "Mg"]

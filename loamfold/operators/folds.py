@@ -49,9 +49,16 @@ def labelled_long(df: DataFrame, targets: Sequence[str], keep: Sequence[str]) ->
     return rows.where(F.col("y").isNotNull())
 
 
+def target_folds(long: DataFrame, block: str = "spatial_block", folds: int = FOLDS) -> DataFrame:
+    """``(target, block, fold)``, stored; folds are balanced on the labelled rows of each target."""
+    sizes = (
+        long.where(F.col(block).isNotNull())
+        .groupBy("target", F.col(block).alias("block"))
+        .agg(F.count("*").alias("n"))
+    )
+    return stored(assign_folds(sizes, folds).withColumnRenamed("block", block), "folds")
+
+
 def with_target_folds(long: DataFrame, block: str = "spatial_block", folds: int = FOLDS) -> DataFrame:
-    """Add ``fold`` to labelled rows; folds are balanced anew on the labelled rows of each target."""
-    known = long.where(F.col(block).isNotNull())
-    sizes = known.groupBy("target", F.col(block).alias("block")).agg(F.count("*").alias("n"))
-    table = stored(assign_folds(sizes, folds), "folds").withColumnRenamed("block", block)
-    return known.join(table, ["target", block])
+    """Add ``fold`` to labelled rows; rows without a block are left out, as they belong to no fold."""
+    return long.join(target_folds(long, block, folds), ["target", block])

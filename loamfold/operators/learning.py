@@ -75,17 +75,63 @@ def line_oof(long: DataFrame, lines: DataFrame, x: str) -> DataFrame:
     )
 
 
-def line_test(test: DataFrame, lines: DataFrame, x: str) -> DataFrame:
-    """Every fold's model on every test row: ``(ID, target, fold, pred_log)``.
+def _line_map(lines: DataFrame) -> Column:
+    """Target to its lines in fold order, as one scalar value: at most targets x folds numbers."""
+    per_target = lines.groupBy("target").agg(
+        F.map_from_entries(F.collect_list(F.struct("fold", F.struct("slope", "intercept")))).alias("by_fold")
+    )
+    return per_target.agg(F.map_from_entries(F.collect_list(F.struct("target", "by_fold"))).alias("m")).scalar()
+
 
-    The models travel as one small array, so a test row is read once for all targets.
+def line_scatter(
+    rows: DataFrame, fold_table: DataFrame, lines: DataFrame, x: str, targets: Sequence[str], block: str = "spatial_block"
+) -> DataFrame:
+    """Out-of-fold predictions, original scale, for wide rows: ``(ID, targets…)``, unlabelled cells NULL.
+
+    A row needs only the fold of its block and the lines, both far smaller than
+    the rows, so nothing is stacked and no row is shuffled for its targets.
+    ``fold_table`` is ``(target, block, fold)``.
     """
+    per_block = stored(
+        fold_table.groupBy(block).agg(F.map_from_entries(F.collect_list(F.struct("target", "fold"))).alias("_folds")),
+        "block-folds",
+    )
+    joined = rows.select("ID", block, x, *targets).join(per_block, block, "left").withColumn("_lines", _line_map(lines))
+
+    def predicted(t: str) -> Column:
+        line = F.try_element_at(
+            F.try_element_at("_lines", F.lit(t)), F.try_element_at("_folds", F.lit(t))
+        )
+        log = line["slope"] * F.col(x) + line["intercept"]
+        return F.when(F.col(t).isNotNull(), F.expm1(log)).alias(t)
+
+    return joined.select("ID", *[predicted(t) for t in targets])
+
+
+def line_test(test: DataFrame, lines: DataFrame, x: str) -> DataFrame:
+    """Every fold's model on every test row: ``(ID, target, fold, pred_log)``."""
     row = lines.agg(F.collect_list(F.struct("target", "fold", "slope", "intercept")).alias("models")).scalar()
     return test.select("ID", F.col(x).alias("_x"), F.inline(row)).select(
         "ID", "target", "fold", (F.col("slope") * F.col("_x") + F.col("intercept")).alias("pred_log")
     )
 
 
+def line_test_average(test: DataFrame, lines: DataFrame, x: str, targets: Sequence[str]) -> DataFrame:
+    """Fold mean of the lines, transformed back and floored at zero: ``(ID, targets…)``.
+
+    The mean of lines is a line, so a test row is read once and never shuffled.
+    """
+    mean = lines.groupBy("target").agg(F.avg("slope").alias("slope"), F.avg("intercept").alias("intercept"))
+    entries = F.collect_list(F.struct("target", F.struct("slope", "intercept")))
+    scored = test.select("ID", F.col(x).alias("_x")).withColumn("_m", mean.agg(F.map_from_entries(entries)).scalar())
+
+    def predicted(t: str) -> Column:
+        line = F.try_element_at("_m", F.lit(t))
+        return from_log(line["slope"] * F.col("_x") + line["intercept"]).alias(t)
+
+    return scored.select("ID", *[predicted(t) for t in targets])
+
+
 # --- learner-independent steps ----------------------------------------------------------
 
 
@@ -165,6 +211,11 @@ def best_iteration(model: PipelineModel, validation: DataFrame) -> int:
     return min(range(len(losses)), key=lambda i: losses[i]) + 1
 
 
+def _rows_by_fold(long: DataFrame, columns: Sequence[str]) -> DataFrame:
+    ordered = long.select(*columns, "fold").repartitionByRange("fold", "ID").sortWithinPartitions("fold", "ID")
+    return stored(ordered, "fold-rows", partition_by=["fold"])
+
+
 def boosted_folds(
     long: DataFrame, features: Sequence[str], folds: int = FOLDS, stop_early: bool = True, **settings
 ) -> tuple[DataFrame, list[PipelineModel], DataFrame]:
@@ -173,10 +224,11 @@ def boosted_folds(
     Returns the out-of-fold rows ``(ID, target, fold, y, y_log, pred_log)``, the
     models, and the metrics ``(target, fold, best_iteration)``. With ``stop_early`` a
     model is refitted with the number of trees that did best on its held-out fold.
-    The rows are stored once, sorted by id, so every fit reads the same layout.
+    The rows are stored once in one folder per fold and sorted by id, so every fit
+    reads the same layout and skips the held-out folder.
     """
     spark = long.sparkSession
-    rows = stored(long.select("ID", "target", "fold", "y", "y_log", *features).sort("ID"), "labelled-rows")
+    rows = _rows_by_fold(long, ["ID", "target", "y", "y_log", *features])
     target = rows.first()["target"]
     models, metrics, parts = [], [], []
     for fold in range(folds):
@@ -195,13 +247,17 @@ def boosted_folds(
     return oof, models, spark.createDataFrame(metrics, "target string, fold int, best_iteration int")
 
 
-def boosted_test(test: DataFrame, models: Sequence[PipelineModel], target: str) -> DataFrame:
-    """Every fold model on the test rows: ``(ID, target, fold, pred_log)``."""
-    parts = [
-        model.transform(test).select("ID", F.lit(target).alias("target"), F.lit(fold).alias("fold"), "pred_log")
-        for fold, model in enumerate(models)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def boosted_test_average(test: DataFrame, models: Sequence[PipelineModel], target: str) -> DataFrame:
+    """Mean of the fold models on the test rows, transformed back and floored at zero: ``(ID, target)``.
+
+    All models score a row in the same pass, so the mean needs no shuffle.
+    """
+    scored = models[0].stages[0].transform(test)
+    names = [f"_fold{i}" for i in range(len(models))]
+    for name, model in zip(names, models):
+        scored = model.stages[-1].copy().setPredictionCol(name).transform(scored)
+    mean = reduce(lambda a, b: a + b, [F.col(n) for n in names]) / F.lit(float(len(names)))
+    return scored.select("ID", from_log(mean).alias(target))
 
 
 def search_space(trials: int, seed: int = SEED) -> list[dict]:
@@ -227,7 +283,7 @@ def search(
 
     With one fold only, settings are compared on that fold alone.
     """
-    rows = stored(long.select("ID", "target", "fold", "y_log", *features).sort("ID"), "search-rows")
+    rows = _rows_by_fold(long, ["ID", "target", "y_log", *features])
     evaluator = RegressionEvaluator(labelCol="y_log", predictionCol="pred_log", metricName="rmse")
     results = []
     for trial, settings in enumerate(candidates):

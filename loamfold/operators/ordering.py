@@ -76,9 +76,13 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str, parts: int | N
 
 
 def label_codes(values: DataFrame, column: str, parts: int | None = None) -> DataFrame:
-    """Sorted distinct non-null values with codes 0…n-1: ``(column, code)``."""
+    """Sorted distinct non-null values with codes 0…n-1: ``(column, code)``.
+
+    The codes are stored, so a lookup is broadcast if they are small, which keeps a
+    frequent value from filling one task, and a shuffle join if they are not.
+    """
     distinct = values.select(column).where(F.col(column).isNotNull()).distinct()
-    return with_row_index(distinct, [column], "code", parts)
+    return stored(with_row_index(distinct, [column], "code", parts), "codes")
 
 
 def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from loamfold.catalog.learning_queries import FEATURES, TREES, labelled, tree_rows
+from loamfold.catalog.learning_queries import FEATURES, TREES, blocked_train, labelled, tree_rows
 from loamfold.functions.fixed import TARGETS
 from loamfold.operators import folds, joins, learning, predictions, tables
 
@@ -38,13 +38,28 @@ def test_line_predictions_cover_every_labelled_row_once(tables):
     assert unlabelled.where("Al is not null").isEmpty()
 
 
+def test_row_wise_forms_agree_with_the_long_forms(tables):
+    rows = labelled(tables)
+    lines = learning.fit_lines(rows, "C_total")
+    test = tables.view("test_measured").where("C_total is not null")
+    long = learning.test_average(learning.line_test(test, lines, "C_total"), TARGETS)
+    wide = learning.line_test_average(test, lines, "C_total", TARGETS)
+    six = lambda df: df.select("ID", *[F.round(c, 6).alias(c) for c in TARGETS])
+    assert six(long).exceptAll(six(wide)).isEmpty() and six(wide).exceptAll(six(long)).isEmpty()
+    train = blocked_train(tables)
+    fold_table = rows.select("target", "spatial_block", "fold").distinct()
+    scattered = learning.scatter(train, learning.line_oof(rows, lines, "C_total"), TARGETS)
+    direct = learning.line_scatter(train, fold_table, lines, "C_total", TARGETS)
+    assert six(scattered).exceptAll(six(direct)).isEmpty() and six(direct).exceptAll(six(scattered)).isEmpty()
+
+
 def test_boosted_folds(spark, tables):
     rows, test = tree_rows(tables, "Al")
     oof, models, metrics = learning.boosted_folds(rows, FEATURES, folds=3, **{**TREES, "maxIter": 3})
     assert oof.groupBy("ID").count().where("count > 1").isEmpty()
     assert oof.where("fold >= 3").isEmpty()
     assert all(1 <= r["best_iteration"] <= 3 for r in metrics.collect())
-    averaged = learning.test_average(learning.boosted_test(test, models, "Al"), ["Al"])
+    averaged = learning.boosted_test_average(test, models, "Al")
     assert averaged.count() == test.count()
     assert averaged.where("Al < 0 or Al is null").isEmpty()
 
