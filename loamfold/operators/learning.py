@@ -75,12 +75,12 @@ def line_oof(long: DataFrame, lines: DataFrame, x: str) -> DataFrame:
     )
 
 
-def _line_map(lines: DataFrame) -> Column:
-    """Target to its lines in fold order, as one scalar value: at most targets x folds numbers."""
-    per_target = lines.groupBy("target").agg(
-        F.map_from_entries(F.collect_list(F.struct("fold", F.struct("slope", "intercept")))).alias("by_fold")
-    )
-    return per_target.agg(F.map_from_entries(F.collect_list(F.struct("target", "by_fold"))).alias("m")).scalar()
+def line_parameters(lines: DataFrame) -> dict[str, list[tuple[float, float]]]:
+    """Fitted slopes and intercepts by target, in fold order: at most targets x folds numbers."""
+    fitted: dict[str, list[tuple[float, float]]] = {}
+    for row in sorted(lines.collect(), key=lambda r: (r["target"], r["fold"])):
+        fitted.setdefault(row["target"], []).append((row["slope"], row["intercept"]))
+    return fitted
 
 
 def line_scatter(
@@ -88,21 +88,23 @@ def line_scatter(
 ) -> DataFrame:
     """Out-of-fold predictions, original scale, for wide rows: ``(ID, targets…)``, unlabelled cells NULL.
 
-    A row needs only the fold of its block and the lines, both far smaller than
+    A row needs only the folds of its block and the lines, both far smaller than
     the rows, so nothing is stacked and no row is shuffled for its targets.
     ``fold_table`` is ``(target, block, fold)``.
     """
+    fitted = line_parameters(lines)
     per_block = stored(
-        fold_table.groupBy(block).agg(F.map_from_entries(F.collect_list(F.struct("target", "fold"))).alias("_folds")),
+        fold_table.groupBy(block).agg(*[F.max(F.when(F.col("target") == t, F.col("fold"))).alias(f"_fold_{t}") for t in targets]),
         "block-folds",
     )
-    joined = rows.select("ID", block, x, *targets).join(per_block, block, "left").withColumn("_lines", _line_map(lines))
+    joined = rows.select("ID", block, x, *targets).join(per_block, block, "left")
 
     def predicted(t: str) -> Column:
-        line = F.try_element_at(
-            F.try_element_at("_lines", F.lit(t)), F.try_element_at("_folds", F.lit(t))
-        )
-        log = line["slope"] * F.col(x) + line["intercept"]
+        if t not in fitted:
+            return F.lit(None).cast("double").alias(t)
+        slopes, intercepts = (F.lit([line[part] for line in fitted[t]]) for part in (0, 1))
+        fold = F.col(f"_fold_{t}")
+        log = F.get(slopes, fold) * F.col(x) + F.get(intercepts, fold)
         return F.when(F.col(t).isNotNull(), F.expm1(log)).alias(t)
 
     return joined.select("ID", *[predicted(t) for t in targets])
@@ -121,15 +123,15 @@ def line_test_average(test: DataFrame, lines: DataFrame, x: str, targets: Sequen
 
     The mean of lines is a line, so a test row is read once and never shuffled.
     """
-    mean = lines.groupBy("target").agg(F.avg("slope").alias("slope"), F.avg("intercept").alias("intercept"))
-    entries = F.collect_list(F.struct("target", F.struct("slope", "intercept")))
-    scored = test.select("ID", F.col(x).alias("_x")).withColumn("_m", mean.agg(F.map_from_entries(entries)).scalar())
+    fitted = line_parameters(lines)
 
     def predicted(t: str) -> Column:
-        line = F.try_element_at("_m", F.lit(t))
-        return from_log(line["slope"] * F.col("_x") + line["intercept"]).alias(t)
+        if t not in fitted:
+            return F.lit(None).cast("double").alias(t)
+        slope, intercept = (sum(line[part] for line in fitted[t]) / len(fitted[t]) for part in (0, 1))
+        return from_log(F.lit(slope) * F.col(x) + F.lit(intercept)).alias(t)
 
-    return scored.select("ID", *[predicted(t) for t in targets])
+    return test.select("ID", *[predicted(t) for t in targets])
 
 
 # --- learner-independent steps ----------------------------------------------------------

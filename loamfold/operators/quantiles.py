@@ -153,6 +153,14 @@ def exact_medians(
     return medians.groupBy(*keys).agg(*[F.max(F.when(F.col("metric") == c, F.col("q0"))).alias(c) for c in columns])
 
 
+def array_median(values: Column) -> Column:
+    """Median of an array without nulls."""
+    ordered = F.sort_array(values)
+    last = F.size(values) - 1
+    low, high = F.floor(last / F.lit(2.0)).cast("int"), F.ceil(last / F.lit(2.0)).cast("int")
+    return F.when(last >= 0, (F.get(ordered, low) + F.get(ordered, high)) / F.lit(2.0))
+
+
 def grouped_medians(
     df: DataFrame,
     columns: Sequence[str],
@@ -162,14 +170,22 @@ def grouped_medians(
 ) -> DataFrame:
     """Medians for very many groups that are small except for a few hot ones.
 
-    ``hot`` lists the values of ``hot_key`` whose groups may be large. All other
-    groups use the built-in exact ``median``, whose buffer is then bounded.
+    ``hot`` lists the values of ``hot_key`` whose groups may be large; they take the
+    bracket path. Every other group has at most as many rows as ``hot_values`` lets
+    pass, so its rows may be gathered: one list per group is far cheaper than one
+    hash table of counts per group and column.
     """
-    medians = [F.median(F.col(c).cast("double")).alias(c) for c in columns]
+
+    def gathered(rows: DataFrame) -> DataFrame:
+        lists = rows.groupBy(*keys).agg(
+            F.collect_list(F.struct(*[F.col(c).cast("double").alias(c) for c in columns])).alias("_rows")
+        )
+        return lists.select(*keys, *[array_median(F.array_compact(F.col(f"_rows.{c}"))).alias(c) for c in columns])
+
     if hot.isEmpty():
-        return df.groupBy(*keys).agg(*medians)
-    calm = df.join(hot, hot_key, "left_anti").groupBy(*keys).agg(*medians)
-    return calm.unionByName(exact_medians(df.join(hot, hot_key, "left_semi"), columns, keys))
+        return gathered(df)
+    calm = gathered(df.join(hot, hot_key, "left_anti"))
+    return calm.unionByName(exact_medians(df.join(hot, hot_key, "left_semi"), columns, keys, small_table=0))
 
 
 def hot_values(df: DataFrame, key: str, limit: int = 100_000) -> DataFrame:

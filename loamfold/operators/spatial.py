@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from loamfold.functions.coords import DEGREE_M, great_circle_m, rounded_key
 
+MAX_CENTRES = 1000
+
 
 def with_rounded_keys(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude") -> DataFrame:
     return df.withColumns({"lat_key": rounded_key(F.col(lat)), "lon_key": rounded_key(F.col(lon))})
@@ -114,20 +116,27 @@ def year_window(start_year: Column, end_year: Column) -> tuple[Column, Column]:
     return F.make_date(start_year, F.lit(1), F.lit(1)), F.make_date(end_year, F.lit(12), F.lit(31))
 
 
+def centre_list(centres: DataFrame) -> list[tuple[int, float, float]]:
+    """Fitted centres as model parameters: k rows, where k is chosen by the caller and checked here."""
+    rows = centres.select("cluster", "c_lat", "c_lon").limit(MAX_CENTRES + 1).collect()
+    if len(rows) > MAX_CENTRES:
+        raise ValueError(f"more than {MAX_CENTRES} centres")
+    return sorted((row["cluster"], row["c_lat"], row["c_lon"]) for row in rows)
+
+
 def nearest_centre(df: DataFrame, centres: DataFrame, lat: Column, lon: Column) -> DataFrame:
     """Add ``cluster`` and ``centre_distance`` (degrees) of the nearest centre, ties to the lower number.
-    Both are NULL for a missing coordinate.
 
-    ``centres`` is ``(cluster, c_lat, c_lon)`` with a fixed number of rows (the k of
-    the clustering); it travels as one array in a scalar subquery.
+    Both are NULL for a missing coordinate. The centres are written into the
+    expression, so the assignment is generated code without a join.
     """
-    listed = centres.agg(F.array_sort(F.collect_list(F.struct("cluster", "c_lat", "c_lon"))).alias("list")).scalar()
 
-    def candidate(c: Column) -> Column:
-        distance = F.sqrt(F.pow(lat - c["c_lat"], F.lit(2.0)) + F.pow(lon - c["c_lon"], F.lit(2.0)))
-        return F.struct(distance.alias("d"), c["cluster"].alias("k"))
+    def candidate(number: int, c_lat: float, c_lon: float) -> Column:
+        dlat, dlon = lat - F.lit(c_lat), lon - F.lit(c_lon)
+        return F.struct((dlat * dlat + dlon * dlon).alias("d"), F.lit(number).alias("k"))
 
-    nearest = F.when(lat.isNotNull() & lon.isNotNull(), F.array_min(F.transform("_centres", candidate)))
-    best = df.withColumn("_centres", listed).withColumn("_best", nearest)
-    named = best.withColumns({"cluster": F.col("_best.k"), "centre_distance": F.col("_best.d")})
-    return named.drop("_best", "_centres")
+    candidates = [candidate(*centre) for centre in centre_list(centres)]
+    smallest = F.least(*candidates) if len(candidates) > 1 else candidates[0]
+    best = df.withColumn("_best", F.when(lat.isNotNull() & lon.isNotNull(), smallest))
+    named = best.withColumns({"cluster": F.col("_best.k"), "centre_distance": F.sqrt(F.col("_best.d"))})
+    return named.drop("_best")

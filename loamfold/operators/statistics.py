@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loamfold.functions.fixed import DESCRIBE_FRACTIONS, HISTOGRAM_BINS
 from loamfold.functions.nulls import log_positive
-from loamfold.operators.quantiles import exact_medians, exact_quantiles, long_form, quantiles_of_long
+from loamfold.operators.quantiles import exact_medians, exact_quantiles, long_form
 from loamfold.session import spread, stored
 
 
@@ -113,7 +113,7 @@ def box_stats(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and outlier counts of the log values per class and column."""
     logs = df.where(F.col(key).isNotNull()).select(key, *[log_positive(F.col(c)).alias(c) for c in columns])
     rows = long_form(logs, columns, [key]).where(F.col("value").isNotNull())
-    quartiles = stored(quantiles_of_long(rows, [key, "metric"], [0.25, 0.5, 0.75]), "quartiles")
+    quartiles = stored(exact_quantiles(logs, columns, [0.25, 0.5, 0.75], [key]), "quartiles")
     fences = quartiles.select(
         key,
         "metric",

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from loamfold.functions.fixed import CLOUD_LIMIT, RADIUS_M, RECENT_WINDOW
 from loamfold.functions.spectral import sensor_features, sensor_for_year, sensor_names
-from loamfold.operators.quantiles import grouped_medians, hot_values
+from loamfold.operators.quantiles import array_median, exact_medians, grouped_medians, hot_values
 from loamfold.operators.spatial import in_window, within_radius, year_window
-from loamfold.session import stored
+from loamfold.session import spread, stored
 
 ROLES = ["blue", "green", "red", "nir", "nir_narrow", "swir1", "swir2"]
 PLACE = ["Latitude", "Longitude"]
@@ -41,29 +41,50 @@ def recent_composite(scenes: DataFrame, hot: DataFrame) -> DataFrame:
 def dated_composite(windows: DataFrame, scenes: DataFrame, hot: DataFrame) -> DataFrame:
     """Per pixel and distinct window the median of each band.
 
-    ``windows`` is ``(pixel_id, start_year, end_year, sensor)``; the dates are a residual
-    condition of the equi-join.
+    ``windows`` is ``(pixel_id, start_year, end_year, sensor)``. Many windows overlap on
+    a pixel, so the scenes of a pixel are brought together once and each window
+    picks its own from the list; a scene is shuffled once, not once per window.
+    Pixels with too many scenes for a list are joined scene by scene instead, with
+    the dates as a residual condition, and take the bracket path.
     """
     start, end = year_window(F.col("start_year"), F.col("end_year"))
-    matched = windows.join(scenes.where(clear_enough()), ["pixel_id", "sensor"]).where(
+    kept = scenes.where(clear_enough())
+
+    calm = kept.join(hot, "pixel_id", "left_anti")
+    lists = calm.groupBy("pixel_id", "sensor").agg(F.collect_list(F.struct("ts", *ROLES)).alias("_scenes"))
+    dated = windows.withColumns({"_start": start, "_end": end}).join(lists, ["pixel_id", "sensor"])
+    inside = F.filter("_scenes", lambda scene: in_window(scene["ts"], F.col("_start"), F.col("_end")))
+    picked = dated.select("pixel_id", *WINDOW, inside.alias("_inside")).where(F.size("_inside") > 0)
+    composed = picked.select(
+        "pixel_id", *WINDOW, *[array_median(F.array_compact(F.col(f"_inside.{role}"))).alias(role) for role in ROLES]
+    )
+    if hot.isEmpty():
+        return composed
+    matched = windows.join(kept.join(hot, "pixel_id", "left_semi"), ["pixel_id", "sensor"]).where(
         in_window(F.col("ts"), start, end)
     )
-    return grouped_medians(matched, ROLES, ["pixel_id", *WINDOW], hot, "pixel_id")
+    return composed.unionByName(exact_medians(matched, ROLES, ["pixel_id", *WINDOW], small_table=0))
 
 
 def satellite_features(
-    points: DataFrame, scenes: DataFrame, pixels: DataFrame, radius_m: float = RADIUS_M
+    points: DataFrame,
+    scenes: DataFrame,
+    pixels: DataFrame,
+    radius_m: float = RADIUS_M,
+    hot_rows: int = 100_000,
 ) -> DataFrame:
     """``points`` ``(ID, Latitude, Longitude, start_year, end_year)`` to one wide row per id.
 
     ``scenes``: ``(pixel_id, sensor, ts, cloud_pct, bands by role)``; ``pixels``:
     ``(pixel_id, Latitude, Longitude)``. Work is done per distinct place and window and
-    handed to the points at the end. Means are not weighted by edge coverage.
+    handed to the points at the end. A pixel with more than ``hot_rows`` scenes is never
+    gathered in one list. Means are not weighted by edge coverage.
     """
     dated = points.withColumn("sensor", sensor_for_year(F.col("start_year")))
     sites = dated.select(*PLACE).na.drop().distinct()
     near = stored(within_radius(sites, pixels, radius_m).drop("distance_m"), "near-pixels")
-    hot = hot_values(scenes, "pixel_id")
+    scenes = spread(scenes)
+    hot = hot_values(scenes, "pixel_id", hot_rows)
 
     recent = near.join(recent_composite(scenes, hot), "pixel_id")
     out = dated.join(site_means(recent, "S2", "s2_recent_", PLACE), PLACE, "left")

@@ -19,6 +19,8 @@ def build_session(app_name: str = "loamfold", master: str | None = None, **setti
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Wide projections generate methods the JIT refuses (8000 bytes); run those without fusing stages.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)

@@ -57,3 +57,17 @@ def test_raster_cells_and_nodata(spark):
     out = spatial.raster_values(points, cells, ["a", "b"], (10.0, 0.0), (1.0, 1.0), -9.0)
     got = {r["ID"]: (r["wc_a"], r["wc_b"]) for r in out.collect()}
     assert got == {1: (1.0, 5.0), 2: (None, None), 3: (None, None), 4: (None, None)}
+
+
+def test_hot_pixels_give_the_same_composites(spark, tables):
+    from loamfold.catalog.join_queries import dated_points
+    from loamfold.plans.satellite import satellite_features
+
+    points, scenes, pixels = dated_points(tables).drop("site"), tables.view("scenes"), tables.view("pixels")
+    usual = satellite_features(points, scenes, pixels)
+    hot = satellite_features(points, scenes, pixels, hot_rows=550)
+    assert 0 < scenes.groupBy("pixel_id").count().where("count > 550").count() < pixels.count()
+    columns = [c for c in usual.columns if c != "ID"]
+    round_off = lambda df: df.select("ID", *[F.round(c, 9).alias(c) for c in columns])
+    assert round_off(usual).exceptAll(round_off(hot)).isEmpty()
+    assert round_off(hot).exceptAll(round_off(usual)).isEmpty()
