@@ -168,6 +168,21 @@ def ml_oof_fit(t: Tables):
     return oof
 
 
+@query(
+    "ml_oof_fit_coverage",
+    f"""WITH {LONG}, {FOLDS}, folded AS (SELECT known.*, walk.fold FROM known JOIN walk USING (target, block))
+        SELECT ID, target, CAST(fold AS INT) AS fold, y, round(y_log, 6) AS y_log, 1 AS predictions FROM folded WHERE target = 'Al'""",
+    "train_numeric",
+    recursive=True,
+)
+def ml_oof_fit_coverage(t: Tables):
+    """Every labelled row is predicted exactly once, by the model of its own fold."""
+    rows, _ = tree_rows(t, "Al")
+    oof, _, _ = learning.boosted_folds(rows, FEATURES, stop_early=False, **{**TREES, "maxIter": 2})
+    predicted = oof.groupBy("ID", "target", "fold", "y", "y_log").agg(F.count("pred_log").alias("predictions"))
+    return rounded(predicted, columns=["y_log"])
+
+
 @query("ml_validation_stop")
 def ml_validation_stop(t: Tables):
     rows, _ = tree_rows(t, "Al")

@@ -28,9 +28,14 @@ def agg_shape(t: Tables):
     return statistics.shapes({n: t.view(n) for n in ("train", "test", "mask")})
 
 
-@query("agg_dtypes")
+@query(
+    "agg_dtypes",
+    """SELECT column_name, CASE WHEN column_type = 'BIGINT' THEN 'bigint' WHEN column_type = 'INTEGER' THEN 'int'
+         WHEN column_type = 'DOUBLE' THEN 'double' WHEN column_type = 'VARCHAR' THEN 'string'
+         WHEN column_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' END AS data_type FROM (DESCRIBE lineitem)""",
+)
 def agg_dtypes(t: Tables):
-    return statistics.column_types(t.view("train"))
+    return statistics.column_types(t.table("lineitem")).select("column_name", "data_type")
 
 
 @query(

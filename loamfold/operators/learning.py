@@ -8,21 +8,25 @@ folds from one aggregate pass, and boosted trees from Spark ML.
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamfold.functions.fixed import FOLDS, SEED
 from loamfold.functions.nulls import clip_lower, from_log, log_positive
 from loamfold.session import stored
 
+PARALLEL_FITS = 4
+
 
 # --- straight line per target and fold -------------------------------------------------
 
@@ -213,15 +217,26 @@ def best_iteration(model: PipelineModel, validation: DataFrame) -> int:
     return min(range(len(losses)), key=lambda i: losses[i]) + 1
 
 
+def _side_by_side(spark: SparkSession, fn: Callable, items: Sequence, parallelism: int) -> list:
+    """Results of ``fn`` per item, in order; each call submits its own Spark jobs."""
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(fn), items))
+
+
 def _rows_by_fold(long: DataFrame, columns: Sequence[str]) -> DataFrame:
     ordered = long.select(*columns, "fold").repartitionByRange("fold", "ID").sortWithinPartitions("fold", "ID")
     return stored(ordered, "fold-rows", partition_by=["fold"])
 
 
 def boosted_folds(
-    long: DataFrame, features: Sequence[str], folds: int = FOLDS, stop_early: bool = True, **settings
+    long: DataFrame,
+    features: Sequence[str],
+    folds: int = FOLDS,
+    stop_early: bool = True,
+    parallelism: int = PARALLEL_FITS,
+    **settings,
 ) -> tuple[DataFrame, list[PipelineModel], DataFrame]:
-    """Fit one target on each fold's complement.
+    """Fit one target on each fold's complement, several folds at a time.
 
     Returns the out-of-fold rows ``(ID, target, fold, y, y_log, pred_log)``, the
     models, and the metrics ``(target, fold, best_iteration)``. With ``stop_early`` a
@@ -232,19 +247,23 @@ def boosted_folds(
     spark = long.sparkSession
     rows = _rows_by_fold(long, ["ID", "target", "y", "y_log", *features])
     target = rows.first()["target"]
-    models, metrics, parts = [], [], []
-    for fold in range(folds):
+    used = sorted(row["fold"] for row in rows.where(F.col("fold") < folds).select("fold").distinct().collect())
+
+    def fit(fold: int) -> tuple[PipelineModel, int]:
         seen, held = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
-        if held.isEmpty():
-            continue
         model = boosted(features, **settings).fit(seen)
         trees = len(model.stages[-1].trees)
         if stop_early and (best := best_iteration(model, held)) < trees:
-            trees = best
-            model = boosted(features, **{**settings, "maxIter": trees}).fit(seen)
-        models.append(model)
-        metrics.append((target, fold, trees))
-        parts.append(model.transform(held).select("ID", "target", "fold", "y", "y_log", "pred_log"))
+            return boosted(features, **{**settings, "maxIter": best}).fit(seen), best
+        return model, trees
+
+    fitted = _side_by_side(spark, fit, used, parallelism)
+    models = [model for model, _ in fitted]
+    metrics = [(target, fold, trees) for fold, (_, trees) in zip(used, fitted)]
+    parts = [
+        model.transform(rows.where(F.col("fold") == fold)).select("ID", "target", "fold", "y", "y_log", "pred_log")
+        for fold, model in zip(used, models)
+    ]
     oof = reduce(DataFrame.unionByName, parts)
     return oof, models, spark.createDataFrame(metrics, "target string, fold int, best_iteration int")
 
@@ -279,7 +298,11 @@ def search_space(trials: int, seed: int = SEED) -> list[dict]:
 
 
 def search(
-    long: DataFrame, features: Sequence[str], candidates: Sequence[dict], folds: Sequence[int] = tuple(range(FOLDS))
+    long: DataFrame,
+    features: Sequence[str],
+    candidates: Sequence[dict],
+    folds: Sequence[int] = tuple(range(FOLDS)),
+    parallelism: int = PARALLEL_FITS,
 ) -> DataFrame:
     """Mean fold RMSE (log scale) per setting: ``(trial, settings, rmse_log)``.
 
@@ -287,13 +310,18 @@ def search(
     """
     rows = _rows_by_fold(long, ["ID", "target", "y_log", *features])
     evaluator = RegressionEvaluator(labelCol="y_log", predictionCol="pred_log", metricName="rmse")
+
+    def score(task: tuple[int, int]) -> float:
+        trial, fold = task
+        model = boosted(features, **candidates[trial]).fit(rows.where(F.col("fold") != fold))
+        return evaluator.evaluate(model.transform(rows.where(F.col("fold") == fold)))
+
+    tasks = [(trial, fold) for trial in range(len(candidates)) for fold in folds]
+    scores = _side_by_side(long.sparkSession, score, tasks, parallelism)
     results = []
     for trial, settings in enumerate(candidates):
-        scores = []
-        for fold in folds:
-            model = boosted(features, **settings).fit(rows.where(F.col("fold") != fold))
-            scores.append(evaluator.evaluate(model.transform(rows.where(F.col("fold") == fold))))
-        results.append((trial, str(sorted(settings.items())), float(sum(scores) / len(scores))))
+        own = [s for (t, _), s in zip(tasks, scores) if t == trial]
+        results.append((trial, str(sorted(settings.items())), float(sum(own) / len(own))))
     return long.sparkSession.createDataFrame(results, "trial int, settings string, rmse_log double")
 
 
@@ -317,11 +345,12 @@ def fit_centres(points: DataFrame, k: int, restarts: int = 10, seed: int = SEED)
         stored(places, "places")
     )
     vectors.persist()
-    best = None
-    for attempt in range(restarts):
+
+    def fit(attempt: int):
         model = KMeans(k=k, seed=seed + attempt, featuresCol="_place", weightCol="weight").fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
+        return model.summary.trainingCost, attempt, model
+
+    best = min(_side_by_side(points.sparkSession, fit, range(restarts), PARALLEL_FITS), key=lambda run: run[:2])[2]
     vectors.unpersist()
     rows = [(i, float(c[0]), float(c[1])) for i, c in enumerate(best.clusterCenters())]
     return points.sparkSession.createDataFrame(rows, "cluster int, c_lat double, c_lon double")

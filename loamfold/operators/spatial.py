@@ -16,9 +16,21 @@ def with_rounded_keys(df: DataFrame, lat: str = "Latitude", lon: str = "Longitud
     return df.withColumns({"lat_key": rounded_key(F.col(lat)), "lon_key": rounded_key(F.col(lon))})
 
 
-def documents_at(points: DataFrame, documents: DataFrame) -> DataFrame:
+def _spread_missing(df: DataFrame, first: str, second: str, by: str) -> DataFrame:
+    """Keys that match nothing for rows without a place, different ones, so they do not all meet in one task."""
+    missing = F.col(first).isNull() | F.col(second).isNull()
+    return df.withColumns(
+        {
+            first: F.when(missing, F.xxhash64(by)).otherwise(F.col(first)),
+            second: F.when(missing, F.lit(None).cast("bigint")).otherwise(F.col(second)),
+        }
+    )
+
+
+def documents_at(points: DataFrame, documents: DataFrame, key: str = "ID") -> DataFrame:
     """Left join on coordinates rounded to four decimals; ``documents`` has ``lat_key, lon_key``."""
-    return with_rounded_keys(points).join(documents, ["lat_key", "lon_key"], "left")
+    keyed = _spread_missing(with_rounded_keys(points), "lat_key", "lon_key", key)
+    return keyed.join(documents, ["lat_key", "lon_key"], "left").drop("lat_key", "lon_key")
 
 
 def raster_values(
@@ -29,6 +41,7 @@ def raster_values(
     step: tuple[float, float],
     nodata: float,
     prefix: str = "wc_",
+    key: str = "ID",
 ) -> DataFrame:
     """Value of each layer in the cell a point falls into; ``(lat0, lon0)`` is the upper left corner.
 
@@ -49,6 +62,7 @@ def raster_values(
             "col": F.floor((F.col("Longitude") - F.lit(lon0)) / F.lit(dlon)).cast("bigint"),
         }
     )
+    located = _spread_missing(located, "row", "col", key)
     return located.join(wide, ["row", "col"], "left").select(*points.columns, *[f"{prefix}{x}" for x in layers])
 
 

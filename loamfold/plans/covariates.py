@@ -9,7 +9,7 @@ from loamfold.functions.documents import with_flattened
 from loamfold.functions.fixed import BATCH_ROWS, YEAR_DAYS
 from loamfold.operators.joins import batch_results, covariate_chain
 from loamfold.operators.ordering import with_batches
-from loamfold.operators.spatial import with_rounded_keys
+from loamfold.operators.spatial import documents_at
 from loamfold.operators.statistics import climate_normals
 from loamfold.operators.tables import union_locations
 from loamfold.session import stored
@@ -25,7 +25,7 @@ def covariates(
     """
     spine = stored(union_locations([train, test]), "locations")
     soil = with_flattened(documents, "text", "regex")
-    with_soil = with_rounded_keys(spine).join(soil, ["lat_key", "lon_key"], "left").drop("lat_key", "lon_key")
+    with_soil = documents_at(spine, soil)
     elevation = batch_results(with_batches(spine.select("ID"), ["ID"], BATCH_ROWS), replies, "elevation_m")
     climate = climate_normals(daily, "ID", "temps", "rains", YEAR_DAYS)
     return covariate_chain(with_soil, [elevation.select("ID", F.col("elevation_m")), climate])

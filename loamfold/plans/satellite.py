@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loamfold.functions.fixed import CLOUD_LIMIT, RADIUS_M, RECENT_WINDOW
 from loamfold.functions.spectral import sensor_features, sensor_for_year, sensor_names
+from loamfold.operators.columns import any_of
 from loamfold.operators.quantiles import array_median, exact_medians, grouped_medians, hot_values
 from loamfold.operators.spatial import in_window, within_radius, year_window
 from loamfold.session import spread, stored
@@ -80,8 +81,9 @@ def satellite_features(
     handed to the points at the end. A pixel with more than ``hot_rows`` scenes is never
     gathered in one list. Means are not weighted by edge coverage.
     """
-    dated = points.withColumn("sensor", sensor_for_year(F.col("start_year")))
-    sites = dated.select(*PLACE).na.drop().distinct()
+    nowhere = any_of([F.col(c).isNull() for c in PLACE])
+    dated = points.where(~nowhere).withColumn("sensor", sensor_for_year(F.col("start_year")))
+    sites = dated.select(*PLACE).distinct()
     near = stored(within_radius(sites, pixels, radius_m).drop("distance_m"), "near-pixels")
     scenes = spread(scenes)
     hot = hot_values(scenes, "pixel_id", hot_rows)
@@ -102,7 +104,9 @@ def satellite_features(
             for name, c in named.items()
         ]
     )
-    return out.join(means, [*PLACE, *WINDOW], "left").select("ID", *feature_names())
+    found = out.join(means, [*PLACE, *WINDOW], "left").select("ID", *feature_names())
+    # Points without a place have no features; they bypass the joins instead of meeting on a null key.
+    return found.unionByName(points.where(nowhere).select("ID"), allowMissingColumns=True)
 
 
 def feature_names() -> list[str]:

@@ -18,6 +18,8 @@ def build_session(app_name: str = "loamfold", master: str | None = None, **setti
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a skewed side even where that costs one more shuffle afterwards.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Wide projections generate methods the JIT refuses (8000 bytes); run those without fusing stages.
         "spark.sql.codegen.hugeMethodLimit": "8000",
