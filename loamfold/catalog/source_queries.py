@@ -123,12 +123,14 @@ def sink_json_list(t: Tables):
 
 @query(
     "source_presence",
-    "SELECT DISTINCT replace(p_brand, '#', '-') || '.csv' AS file_name FROM part WHERE p_brand NOT IN (SELECT DISTINCT p_brand FROM part WHERE p_size > 49)",
+    "SELECT DISTINCT replace(p_brand, '#', '-') || '.csv' AS file_name FROM part WHERE p_brand NOT IN "
+    "(SELECT p_brand FROM part GROUP BY p_brand HAVING min(p_partkey) % 2 = 0)",
 )
 def source_presence(t: Tables):
-    """Required file names without a landed file: brands are required, only those with large parts have landed."""
+    """Required file names without a landed file: every brand is required, those whose first part key is even have landed."""
     path = fresh_path(t.spark, "landing")
-    landed = t.table("part").where(F.col("p_size") > 49).select("p_brand").distinct()
+    first = t.table("part").groupBy("p_brand").agg(F.min("p_partkey").alias("first_key"))
+    landed = first.where(F.col("first_key") % 2 == 0)
     file_name = F.concat(F.replace("p_brand", F.lit("#"), F.lit("-")), F.lit(".csv"))
     landed.select(F.lit("x").alias("value"), file_name.alias("name")).write.partitionBy(
         "name"

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamfold.session import shuffle_width, stored
+from loamfold.session import stored
 
 
 def _key_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -29,13 +29,13 @@ def cumulated(
 ) -> DataFrame:
     """Add ``before_<w>``: the sum of ``w`` over the rows of the same key that come earlier.
 
-    ``order`` must be unique within a key.
+    ``order`` must be unique within a key. Without ``parts`` the number of ranges
+    follows the session's shuffle partitions and the size of the data.
     """
     keys, order = list(keys), list(order)
-    width = parts or shuffle_width(df.sparkSession)
+    ranged = df.repartitionByRange(*([parts] if parts else []), *keys, *order)
     chunks = stored(
-        df.repartitionByRange(width, *keys, *order)
-        .sortWithinPartitions(*keys, *order)
+        ranged.sortWithinPartitions(*keys, *order)
         .withColumn("_chunk", F.spark_partition_id()),
         "ordered-chunks",
     )

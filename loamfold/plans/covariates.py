@@ -20,11 +20,13 @@ def covariates(
 ) -> DataFrame:
     """Points of both tables with soil-grid, elevation and climate columns; a missing reply is NULL.
 
-    ``documents``: ``(lat_key, lon_key, text)``; ``replies``: ``(batch_id, results)``;
+    ``documents``: ``(lat_key, lon_key, seq, text)``, of which a place's last one counts;
+    ``replies``: ``(batch_id, results)``;
     ``daily``: ``(ID, temps, rains)``.
     """
     spine = stored(union_locations([train, test]), "locations")
-    soil = with_flattened(documents, "text", "regex")
+    places = documents.groupBy("lat_key", "lon_key").agg(F.max_by("text", "seq").alias("text"))
+    soil = with_flattened(places, "text", "regex")
     with_soil = documents_at(spine, soil)
     elevation = batch_results(with_batches(spine.select("ID"), ["ID"], BATCH_ROWS), replies, "elevation_m")
     climate = climate_normals(daily, "ID", "temps", "rains", YEAR_DAYS)

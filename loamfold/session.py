@@ -63,11 +63,6 @@ def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    """Number of partitions a shuffle of this session produces."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores, for steps that multiply or sort every row.
 
