@@ -138,19 +138,24 @@ def centre_list(centres: DataFrame) -> list[tuple[int, float, float]]:
     return sorted((row["cluster"], row["c_lat"], row["c_lon"]) for row in rows)
 
 
-def nearest_centre(df: DataFrame, centres: DataFrame, lat: Column, lon: Column) -> DataFrame:
+def nearest_centre(
+    df: DataFrame, centres: DataFrame | list[tuple[int, float, float]], lat: Column, lon: Column
+) -> DataFrame:
     """Add ``cluster`` and ``centre_distance`` (degrees) of the nearest centre, ties to the lower number.
 
     Both are NULL for a missing coordinate. The centres are written into the
     expression, so the assignment is generated code without a join.
     """
+    listed = centres if isinstance(centres, list) else centre_list(centres)
 
-    def candidate(number: int, c_lat: float, c_lon: float) -> Column:
-        dlat, dlon = lat - F.lit(c_lat), lon - F.lit(c_lon)
-        return F.struct((dlat * dlat + dlon * dlon).alias("d"), F.lit(number).alias("k"))
+    def candidate(number: int, c_lat: float, c_lon: float) -> str:
+        dlat, dlon = f"(_lat - ({c_lat!r}D))", f"(_lon - ({c_lon!r}D))"
+        return f"named_struct('d', {dlat} * {dlat} + {dlon} * {dlon}, 'k', {number})"
 
-    candidates = [candidate(*centre) for centre in centre_list(centres)]
-    smallest = F.least(*candidates) if len(candidates) > 1 else candidates[0]
-    best = df.withColumn("_best", F.when(lat.isNotNull() & lon.isNotNull(), smallest))
+    candidates = [candidate(*centre) for centre in listed]
+    smallest = F.expr(f"least({', '.join(candidates)})" if len(candidates) > 1 else candidates[0])
+    placed = df.withColumns({"_lat": lat.cast("double"), "_lon": lon.cast("double")})
+    known = F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
+    best = placed.withColumn("_best", F.when(known, smallest))
     named = best.withColumns({"cluster": F.col("_best.k"), "centre_distance": F.sqrt(F.col("_best.d"))})
-    return named.drop("_best")
+    return named.drop("_best", "_lat", "_lon")

@@ -19,8 +19,9 @@ from loamfold.functions.fixed import (
 from loamfold.operators.columns import coalesce_alternates, drop
 from loamfold.operators.joins import covariate_chain, left_on_id, left_with_suffix, with_code
 from loamfold.operators.ordering import label_codes
-from loamfold.operators.spatial import nearest_centre
+from loamfold.operators.spatial import centre_list, nearest_centre
 from loamfold.operators.tables import union_categories
+from loamfold.session import spread
 
 
 def attach_test_dates(test: DataFrame, dates_table: DataFrame) -> DataFrame:
@@ -109,13 +110,14 @@ def build_split(
     train: DataFrame, test: DataFrame, dates_table: DataFrame, centres: DataFrame, covariates: Sequence[DataFrame] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test feature tables of the ``split`` profile."""
+    listed = centre_list(centres)
 
     def finish(df: DataFrame) -> DataFrame:
-        located = nearest_centre(split_features(df), centres, F.col("Latitude"), F.col("Longitude"))
+        located = nearest_centre(split_features(df), listed, F.col("Latitude"), F.col("Longitude"))
         named = located.withColumnRenamed("cluster", "spatial_cluster").drop("centre_distance")
         return covariate_chain(named, covariates)
 
-    return finish(train), finish(attach_test_dates(test, dates_table))
+    return finish(spread(train)), finish(attach_test_dates(test, dates_table))
 
 
 def build_regex(
@@ -131,17 +133,18 @@ def build_regex(
     Ratios of targets stay in the table as in the source data, but model features
     must leave them out (``feature_columns(derived=…)``).
     """
+    listed = centre_list(centres)
 
     def locate(df: DataFrame) -> DataFrame:
         lat, lon = F.coalesce("Latitude", F.lit(0.0)), F.coalesce("Longitude", F.lit(0.0))
-        located = nearest_centre(regex_features(attach_dates(df, dates_table)), centres, lat, lon)
+        located = nearest_centre(regex_features(attach_dates(df, dates_table)), listed, lat, lon)
         named = located.withColumnsRenamed({"centre_distance": "dist_to_cluster_center"}).withColumns(
             {"spatial_cluster": F.col("cluster").cast("string"), **coords.trig(lat, lon)}
         )
         merged = covariate_chain(named.drop("cluster"), [drop(c, ["Latitude", "Longitude"]) for c in covariates])
         return merged.withColumn("depth_label", F.coalesce("Depth_cm", F.lit(UNKNOWN_LABEL)))
 
-    located = [locate(train), locate(test)]
+    located = [locate(spread(train)), locate(test)]
     depth_codes = label_codes(located[0], "depth_label")
     cluster_codes = label_codes(union_categories(located, "spatial_cluster"), "spatial_cluster")
 
