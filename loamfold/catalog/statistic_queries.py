@@ -166,7 +166,7 @@ def agg_corr_embedding(t: Tables):
     return rounded(correlation.pearson(wide, names))
 
 
-def _transformed_sql(a: str, b: str) -> str:
+def transformed_sql(a: str, b: str) -> str:
     return f"""SELECT '{a}' AS x_name, '{b}' AS y_name, round(corr(x, y), 6) AS r_raw,
         CASE WHEN min(y) >= 0 THEN round(corr(x, CASE WHEN y >= 0 THEN ln(1e0 + y) END), 6) END AS r_semilog,
         round(CASE WHEN min(x) >= 0 AND min(y) >= 0 THEN corr(CASE WHEN x >= 0 THEN ln(1e0 + x) END, CASE WHEN y >= 0 THEN ln(1e0 + y) END)
@@ -178,7 +178,7 @@ def _transformed_sql(a: str, b: str) -> str:
 TRANSFORMED = [*[("ph", x) for x in PH_TARGETS], *[p for p in SCATTER_PAIRS if p[0] != "ph"], ("Al", "C_organic")]
 
 
-@query("agg_corr_transformed", " UNION ALL ".join(_transformed_sql(a, b) for a, b in TRANSFORMED), "train_numeric")
+@query("agg_corr_transformed", " UNION ALL ".join(transformed_sql(a, b) for a, b in TRANSFORMED), "train_numeric")
 def agg_corr_transformed(t: Tables):
     return rounded(correlation.transformed(t.view("train_numeric"), TRANSFORMED))
 
@@ -200,38 +200,42 @@ def agg_linear_trend(t: Tables):
     return rounded(statistics.linear_trend(t.view("train_numeric"), "ph", PH_TARGETS))
 
 
-def _histogram_sql(value: str, where: str) -> str:
+def histogram_sql(value: str, where: str, view: str = "train") -> str:
     return union_all(
         TARGETS,
         "SELECT '§' AS metric, bin, count(*) AS n FROM (SELECT CAST(least(coalesce(floor((v - lo) / nullif((hi - lo) / 6e1, 0)), 0), 59) AS INT) AS bin "
-        f"FROM (SELECT {value} AS v, min({value}) OVER () AS lo, max({value}) OVER () AS hi FROM train WHERE {where})) GROUP BY bin",
+        f"FROM (SELECT {value} AS v, min({value}) OVER () AS lo, max({value}) OVER () AS hi FROM {view} WHERE {where})) GROUP BY bin",
     )
 
 
-@query("agg_histogram", _histogram_sql("§", "§ IS NOT NULL"), "train")
+@query("agg_histogram", histogram_sql("§", "§ IS NOT NULL"), "train")
 def agg_histogram(t: Tables):
     return statistics.histogram(t.view("train"), TARGETS)
 
 
-@query("agg_histogram_log", _histogram_sql("ln(1e0 + §)", "§ > 0"), "train")
+@query("agg_histogram_log", histogram_sql("ln(1e0 + §)", "§ > 0"), "train")
 def agg_histogram_log(t: Tables):
     return statistics.histogram(t.view("train"), TARGETS, log=True)
 
 
-BOX = (
-    "WITH rows_long AS ("
-    + union_all(BOX_TARGETS, "SELECT Depth_cm, '§' AS metric, ln(1e0 + greatest(§, 0e0)) AS v FROM train WHERE § IS NOT NULL AND Depth_cm IS NOT NULL")
-    + """), q AS (SELECT Depth_cm, metric, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+def box_sql(view: str, targets: list[str]) -> str:
+    inside = "v BETWEEN q1 - 15e-1 * (q3 - q1) AND q3 + 15e-1 * (q3 - q1)"
+    stacked = union_all(
+        targets,
+        f"SELECT Depth_cm, '§' AS metric, ln(1e0 + greatest(§, 0e0)) AS v FROM {view} "
+        "WHERE § IS NOT NULL AND Depth_cm IS NOT NULL",
+    )
+    return f"""WITH rows_long AS ({stacked}),
+      q AS (SELECT Depth_cm, metric, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
         quantile_cont(v, 0.75) AS q3 FROM rows_long GROUP BY ALL)
       SELECT Depth_cm, metric, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
-        round(min(v) FILTER (WHERE v BETWEEN q1 - 15e-1 * (q3 - q1) AND q3 + 15e-1 * (q3 - q1)), 6) AS whisker_low,
-        round(max(v) FILTER (WHERE v BETWEEN q1 - 15e-1 * (q3 - q1) AND q3 + 15e-1 * (q3 - q1)), 6) AS whisker_high,
-        count(*) FILTER (WHERE NOT v BETWEEN q1 - 15e-1 * (q3 - q1) AND q3 + 15e-1 * (q3 - q1)) AS outliers
+        round(min(v) FILTER (WHERE {inside}), 6) AS whisker_low,
+        round(max(v) FILTER (WHERE {inside}), 6) AS whisker_high,
+        count(*) FILTER (WHERE NOT {inside}) AS outliers
       FROM rows_long JOIN q USING (Depth_cm, metric) GROUP BY Depth_cm, metric, q.q1, q.median, q.q3"""
-)
 
 
-@query("agg_box_stats", BOX, "train")
+@query("agg_box_stats", box_sql("train", BOX_TARGETS), "train")
 def agg_box_stats(t: Tables):
     return rounded(statistics.box_stats(t.view("train"), "Depth_cm", BOX_TARGETS))
 

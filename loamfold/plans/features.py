@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamfold.functions import chemistry, coords, dates, depth
@@ -16,6 +16,7 @@ from loamfold.functions.fixed import (
     TARGETS,
     UNKNOWN_LABEL,
 )
+from loamfold.functions.nulls import to_number
 from loamfold.operators.columns import coalesce_alternates, drop
 from loamfold.operators.joins import covariate_chain, left_on_id, left_with_suffix, with_code
 from loamfold.operators.ordering import label_codes
@@ -83,7 +84,10 @@ def split_features(df: DataFrame) -> DataFrame:
 def regex_features(df: DataFrame) -> DataFrame:
     """Depth, date and chemistry features of the ``regex`` profile."""
     shallow, deep = depth.depth_flags(F.col("depth_mid"), "regex")
-    number = lambda c: F.col(c).cast("string").try_cast("double") if c in df.columns else F.lit(None).cast("double")
+
+    def number(column: str) -> Column:
+        return to_number(F.col(column).cast("string")) if column in df.columns else F.lit(None).cast("double")
+
     out = df.withColumns(
         {
             "depth_mid": depth.midpoint_regex(F.col("Depth_cm")),
