@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamfold.llm import packing, tokens
+from loamfold.llm import near_duplicates, packing, tokens
 from loamfold.session import stored
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,9 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = tokens.token_pieces(table(spark, folder, "documents"), byte_vocabulary())
     light = stored(pieces.withColumn("ids_crc32", tokens.digest(F.col("ids"))).drop("ids"), "pieces")
     return packing.pack(light, ["doc_id", "piece", "ids_crc32"])
+
+
+@query("op8_superminhash")
+def superminhash(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their near-duplicate component, links from a similarity of 0.85 on."""
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"), percent=85)
