@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamfold.llm import near_duplicates, packing, tokens
+from loamfold.llm import decontamination, near_duplicates, packing, tokens
 from loamfold.session import stored
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,12 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def superminhash(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with their near-duplicate component, links from a similarity of 0.85 on."""
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), percent=85)
+
+
+@query("op6_suffix_arrays")
+def suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the words and items of the benchmark passages they hold."""
+    found = decontamination.benchmark_matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 10, ["doc_id"])
+    items = F.sort_array(F.array_distinct(F.array_compact(F.col("matches.item_id"))))
+    n_hit = decontamination.words_hit(F.col("matches"))
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.size("matches") > 0).alias("contaminated"))
