@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamfold.llm import decontamination, near_duplicates, packing, tokens
+from loamfold.llm import decontamination, near_duplicates, packing, quality_rules, tokens
 from loamfold.session import stored
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,12 @@ def suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
     items = F.sort_array(F.array_distinct(F.array_compact(F.col("matches.item_id"))))
     n_hit = decontamination.words_hit(F.col("matches"))
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.size("matches") > 0).alias("contaminated"))
+
+
+@query("op3_ngram_ratio_rules")
+def ngram_ratio_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the base rules and the verdict of the n-gram ratio; trusted are those labelled good."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    trusted = table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    ratios = quality_rules.bucket_ratios(docs, trusted)
+    return quality_rules.rule_columns(docs, ratios).drop("text")
