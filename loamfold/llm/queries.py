@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loamfold.llm import chat, decontamination, near_duplicates, packing, quality_rules, tokens
+from loamfold.llm import chat, decontamination, near_duplicates, packing, quality_rules, secrets, tokens
 from loamfold.session import stored
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,25 @@ def event_sourced_chat(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query("op7_owned_secrets")
+def owned_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their secrets; a document is a repository, its source the owner."""
+    found = secrets.secret_spans(table(spark, folder, "documents"))
+
+    def shown(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    def count(condition):
+        return F.size(F.filter("spans", condition)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id",
+        *[count(lambda s, k=kind: s["kind"] == k).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(shown(base), 256).alias("base_sha256"),
+        shown(F.col("spans")).alias("spans"),
+        count(lambda s: s["owners"] == 1).alias("n_live"),
+        count(lambda s: s["owners"] > 1).alias("n_copied"),
+    )
