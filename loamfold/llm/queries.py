@@ -119,10 +119,13 @@ def owned_secrets(spark: SparkSession, folder: str) -> DataFrame:
     def count(condition):
         return F.size(F.filter("spans", condition)).cast("long")
 
+    def of_kind(kind):
+        return lambda s: s["kind"] == kind
+
     base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
     return found.select(
         "doc_id",
-        *[count(lambda s, k=kind: s["kind"] == k).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        *[count(of_kind(kind)).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
         F.sha2(shown(base), 256).alias("base_sha256"),
         shown(F.col("spans")).alias("spans"),
         count(lambda s: s["owners"] == 1).alias("n_live"),
