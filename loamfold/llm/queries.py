@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loamfold.llm import chat, decontamination, near_duplicates, packing, quality_rules, secrets, tokens
+from loamfold.llm import chat, decontamination, fuzzy_lines, near_duplicates, packing, quality_rules, secrets, tokens
 from loamfold.session import stored
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,9 @@ def owned_secrets(spark: SparkSession, folder: str) -> DataFrame:
         count(lambda s: s["owners"] == 1).alias("n_live"),
         count(lambda s: s["owners"] > 1).alias("n_copied"),
     )
+
+
+@query("op9_fuzzy_lines")
+def fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with one occurrence of each group of equal or nearly equal lines."""
+    return fuzzy_lines.deduplicated_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
