@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loamfold.llm import chat, decontamination, fuzzy_lines, near_duplicates, packing, quality_rules, secrets, tokens
+from loamfold.llm import chat, decontamination, fuzzy_lines, licenses, near_duplicates, packing, quality_rules, secrets, tokens
 from loamfold.session import stored
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,46 @@ def owned_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with one occurrence of each group of equal or nearly equal lines."""
     return fuzzy_lines.deduplicated_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+_TEMPLATE_SQL = ", ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(licenses.TEMPLATES))
+
+
+@query(
+    "op4_license_inheritance",
+    rf"""WITH files AS (
+  SELECT doc_id, coalesce(text, '') AS text, CASE WHEN doc_id % 512 = 0 THEN source || '/LICENSE'
+    WHEN doc_id % 64 = 0 THEN source || '/p' || (doc_id // 512) || '/LICENSE'
+    WHEN doc_id % 8 = 0 THEN source || '/p' || (doc_id // 512) || '/q' || (doc_id // 64 % 8) || '/LICENSE'
+    ELSE source || '/p' || (doc_id // 512) || '/q' || (doc_id // 64 % 8) || '/f' || doc_id || '.txt' END AS path FROM documents),
+templates AS (SELECT * FROM (VALUES {_TEMPLATE_SQL}) t(template, name, text)),
+template_tf AS (SELECT template, name, term, count(*) AS tf FROM
+  (SELECT template, name, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM templates) WHERE term <> '' GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM files),
+df AS (SELECT term, count(DISTINCT doc_id) AS df FROM
+  (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM files) WHERE term IN (SELECT term FROM template_tf) GROUP BY term),
+vocabulary AS (SELECT DISTINCT term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM template_tf LEFT JOIN df USING (term), n),
+along AS (SELECT template, name, term, tf * idf * idf / sqrt(sum(tf * tf * idf * idf) OVER (PARTITION BY template)) AS along FROM template_tf JOIN vocabulary USING (term)),
+segments AS (SELECT doc_id, generate_subscripts(s, 1) AS place, unnest(s) AS segment FROM
+  (SELECT doc_id, string_split(text, chr(10)) || CASE WHEN path LIKE '%/LICENSE' THEN [text] ELSE [] END AS s FROM files)),
+tf AS (SELECT doc_id, place, term, count(*) AS tf FROM
+  (SELECT doc_id, place, unnest(regexp_split_to_array(lower(segment), '[^a-z0-9]+')) AS term FROM segments) WHERE term <> '' GROUP BY ALL),
+norms AS (SELECT doc_id, place, sqrt(sum(tf * tf * pow(coalesce(idf, ln(n + 1) + 1), 2))) AS norm FROM tf LEFT JOIN vocabulary USING (term), n GROUP BY ALL),
+scores AS (SELECT doc_id, place, template, name, round(sum(tf * along) / any_value(norm), 6) AS score FROM tf JOIN along USING (term) JOIN norms USING (doc_id, place) GROUP BY ALL),
+own AS (SELECT doc_id, name AS own_license, score FROM scores WHERE score >= {licenses.LEAST} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, name) = 1),
+placed AS (SELECT doc_id, path, regexp_replace(path, '/[^/]*$', '') AS folder, own_license, score FROM files LEFT JOIN own USING (doc_id)),
+licensed AS (SELECT folder, own_license AS given FROM placed WHERE path LIKE '%/LICENSE' AND own_license IS NOT NULL QUALIFY row_number() OVER (PARTITION BY folder ORDER BY score DESC, own_license) = 1),
+above AS (SELECT DISTINCT p.folder, l.folder AS giver, given FROM (SELECT DISTINCT folder FROM placed) p JOIN licensed l ON p.folder = l.folder OR starts_with(p.folder, l.folder || '/')),
+nearest AS (SELECT * FROM above QUALIFY row_number() OVER (PARTITION BY folder ORDER BY length(giver) DESC) = 1)
+SELECT doc_id, path, own_license, score, coalesce(own_license, given) AS license, CASE WHEN own_license IS NULL THEN giver END AS inherited_from
+FROM placed LEFT JOIN nearest USING (folder)""",
+)
+def license_inheritance(spark: SparkSession, folder: str) -> DataFrame:
+    """The licences of all documents as files of a tree: every 8th is the licence file of a folder, of two levels more every 64th and 512th."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    upper = F.concat(F.col("source"), F.lit("/p"), F.floor(F.col("doc_id") / 512))
+    lower = F.concat(upper, F.lit("/q"), F.floor(F.col("doc_id") / 64) % 8)
+    path = F.when(F.col("doc_id") % 512 == 0, F.concat(F.col("source"), F.lit("/LICENSE")))
+    path = path.when(F.col("doc_id") % 64 == 0, F.concat(upper, F.lit("/LICENSE"))).when(F.col("doc_id") % 8 == 0, F.concat(lower, F.lit("/LICENSE")))
+    path = path.otherwise(F.concat(lower, F.lit("/f"), F.col("doc_id"), F.lit(".txt")))
+    return licenses.file_licenses(docs.withColumn("path", path), keep=("doc_id", "path"))
