@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loamfold.llm import chat, decontamination, fuzzy_lines, licenses, near_duplicates, packing, quality_rules, secrets, tokens
+from loamfold.llm import chat, decontamination, fuzzy_lines, licenses, near_duplicates, packing, quality_rules, secrets, tokens, weak_labels
 from loamfold.session import stored
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,11 @@ def license_inheritance(spark: SparkSession, folder: str) -> DataFrame:
     path = path.when(F.col("doc_id") % 64 == 0, F.concat(upper, F.lit("/LICENSE"))).when(F.col("doc_id") % 8 == 0, F.concat(lower, F.lit("/LICENSE")))
     path = path.otherwise(F.concat(lower, F.lit("/f"), F.col("doc_id"), F.lit(".txt")))
     return licenses.file_licenses(docs.withColumn("path", path), keep=("doc_id", "path"))
+
+
+@query("op2_weak_label_classifier")
+def weak_label_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their vote pattern, weak label, score and verdict."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    columns = ["doc_id", "n_words", "pattern", "posterior", "score", "kept"]
+    return weak_labels.scored(docs, weak_labels.fit(docs)).select(columns)
