@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loamfold.llm import chat, decontamination, fuzzy_lines, licenses, near_duplicates, packing, quality_rules, secrets, tokens, weak_labels
+from loamfold.llm import chat, decontamination, fuzzy_lines, licenses, main_text, near_duplicates, packing, quality_rules, secrets, tokens, weak_labels
 from loamfold.session import stored
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,9 @@ def weak_label_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     columns = ["doc_id", "n_words", "pattern", "posterior", "score", "kept"]
     return weak_labels.scored(docs, weak_labels.fit(docs)).select(columns)
+
+
+@query("op1_minimum_cut_text")
+def minimum_cut_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of all pages."""
+    return main_text.extracted(table(spark, folder, "pages"))
