@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
@@ -160,6 +160,11 @@ def _forest(percent: int):
     return compare
 
 
+def row_keys(key: str, text: str) -> list[Column]:
+    """128 bits that tell rows with different ids or texts apart, as ``row_a`` and ``row_b``."""
+    return [F.xxhash64(F.lit(salt), F.col(key).isNull(), F.col(key), F.col(text).isNull(), F.col(text)).alias(name) for salt, name in ((1, "row_a"), (2, "row_b"))]
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
 
@@ -170,20 +175,25 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str
     smallest; its own ``component_id`` is null if its whole component has none, and ``kept`` is then true. Rows that
     repeat a ``doc_id`` are rows of their own. Other columns are left out; an empty table gives an empty table.
     """
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).cast("string").alias("text"))
+    return _placed(docs, percent, width, key, text).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _placed(docs: DataFrame, percent: int, width: int, key: str, text: str) -> DataFrame:
+    """As ``near_duplicates``, with ``row_a, row_b`` and whether the row is the ``first`` of its component."""
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), *row_keys(key, text), F.col(text).cast("string").alias("text"))
     sketches = stored(shingle_rows(rows, width, signatures=True), "sketches")
     # one node per distinct set; the row that stands for it has its smallest id
     nowhere = F.coalesce("doc_id", F.lit(2**63 - 1).cast("long"))
-    classes = sketches.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct(nowhere.alias("id"), "text_key", "doc_id")).alias("first"), F.first("bands").alias("bands"))
-    nodes = stored(classes.select("set_a", "set_b", "n_shingles", "first.id", "first.text_key", "first.doc_id", "bands", F.monotonically_increasing_id().alias("node")), "nodes")
+    classes = sketches.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct(nowhere.alias("id"), "row_a", "row_b", "doc_id")).alias("first"), F.first("bands").alias("bands"))
+    nodes = stored(classes.select("set_a", "set_b", "n_shingles", "first", "bands", F.monotonically_increasing_id().alias("node")), "nodes")
 
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("_last")).where("centre < _last").select("bucket", "centre")
     hits = stored(members.join(buckets, "bucket"), "buckets")
-    wanted = nodes.join(hits.select("node").distinct(), "node").select("node", "set_a", "set_b", "id", "text_key")
+    wanted = nodes.join(hits.select("node").distinct(), "node").select("node", "set_a", "set_b", "first.row_a", "first.row_b")
     # the texts of these nodes only are read again for their whole sets
-    again = rows.withColumn("id", nowhere).join(wanted.select("id", "text_key").distinct(), ["id", "text_key"], "left_semi").select("text")
-    full = shingle_rows(again, width, signatures=False).join(wanted, ["set_a", "set_b"]).dropDuplicates(["node"])
+    again = rows.join(wanted.select("row_a", "row_b").distinct(), ["row_a", "row_b"], "left_semi").select("text")
+    full = shingle_rows(again, width, signatures=False).join(wanted.select("node", "set_a", "set_b"), ["set_a", "set_b"]).dropDuplicates(["node"])
     sets = stored(full.select("node", "n_shingles", "shingles"), "sets")
 
     def side(name: str) -> DataFrame:
@@ -208,8 +218,22 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, key: str
     joined = stored(components(star.unionByName(forest)), "components")
 
     placed = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    known = placed.join(smallest, "component").select("set_a", "set_b", "component_id")
-    out = sketches.select("doc_id", "n_shingles", "set_a", "set_b").join(known, ["set_a", "set_b"], "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    smallest = placed.groupBy("component").agg(F.min("first").alias("least"))
+    known = placed.join(smallest, "component").select("set_a", "set_b", "least")
+    out = sketches.select("doc_id", "row_a", "row_b", "n_shingles", "set_a", "set_b").join(known, ["set_a", "set_b"], "left")
+    alone = F.col("n_shingles") == 0
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id"))
+    first = alone | ((F.col("row_a") == F.col("least.row_a")) & (F.col("row_b") == F.col("least.row_b")))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"), "row_a", "row_b", first.alias("first"))
+
+
+def representatives(docs: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` per near-duplicate component: that with its smallest id (nulls last, ties by text hash).
+
+    A null, empty or blank text is a component of its own. Rows equal in id and text count once, whatever their other
+    columns.
+    """
+    placed = _placed(docs, percent, width, key, text).where("first").select(F.col("row_a").alias("_row_a"), F.col("row_b").alias("_row_b")).distinct()
+    one, two = row_keys(key, text)
+    keyed = docs.withColumns({"_row_a": one, "_row_b": two}).join(placed, ["_row_a", "_row_b"], "left_semi")
+    return keyed.dropDuplicates(["_row_a", "_row_b"]).select(docs.columns)
