@@ -202,17 +202,18 @@ def dated_points(t: Tables):
     "samples scenes",
 )
 def join_date_window(t: Tables):
-    windows = dated_points(t).select("site", "start_year", "end_year").distinct()
-    start, end = spatial.year_window(F.col("start_year"), F.col("end_year"))
+    windows = dated_points(t).select(F.col("site").alias("pixel_id"), "start_year", "end_year").distinct()
     first, last = (F.lit(day).cast("date") for day in RECENT_WINDOW)
-    matched = windows.join(t.view("scenes"), F.col("pixel_id") == F.col("site")).where(
-        spatial.in_window(F.col("ts"), start, end)
+    # counts, first and last combine, so the scenes of a pixel are counted per day before they meet its windows
+    days = t.view("scenes").groupBy("pixel_id", F.to_date("ts").alias("day")).agg(
+        F.count("*").alias("n"), F.min("ts").alias("ts"), F.max("ts").alias("last"), F.count_if(spatial.in_window(F.col("ts"), first, last)).alias("recent")
     )
+    matched = spatial.scenes_in_windows(windows, days, ["pixel_id"]).withColumnRenamed("pixel_id", "site")
     return matched.groupBy("site", "start_year", "end_year").agg(
-        F.count("*").alias("n_scenes"),
-        F.count_if(spatial.in_window(F.col("ts"), first, last)).alias("n_recent"),
+        F.sum("n").alias("n_scenes"),
+        F.sum("recent").alias("n_recent"),
         F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
+        F.max("last").alias("last_ts"),
     )
 
 
@@ -341,10 +342,9 @@ def distinct_values(t: Tables):
 
 @query(
     "schema_diff",
-    """WITH template AS (SELECT unnest(['ID', 'Target_Al', 'Target_Extra']) AS column_name),
-       have AS (SELECT unnest(['ID', 'Target_Al', 'Target_Zn']) AS column_name)
-       SELECT column_name, 'missing' AS status FROM (SELECT * FROM template EXCEPT SELECT * FROM have)
-       UNION ALL SELECT column_name, 'extra' FROM (SELECT * FROM have EXCEPT SELECT * FROM template)""",
+    """SELECT 'Target_Extra' AS column_name, 'missing' AS status, 0 AS n_values
+       UNION ALL SELECT 'Target_Zn', 'extra', count(Target_Zn) FROM preds_a""",
+    "preds_a",
 )
 def schema_diff(t: Tables):
     return tables.schema_diff(t.view("preds_a").select("ID", "Target_Al", "Target_Zn"), ["ID", "Target_Al", "Target_Extra"])

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from loamfold.catalog.registry import Tables, query, rounded
 from loamfold.catalog.scalar_queries import DUCK_BLOCK_KEY
-from loamfold.functions.coords import block_key
 from loamfold.functions.fixed import BLEND_WEIGHTS, TARGETS
+from loamfold.functions.fixed import FOLDS as FOLD_COUNT
 from loamfold.operators import columns, folds, joins, learning, predictions
 from loamfold.plans import submission
 from loamfold.session import fresh_path
@@ -19,27 +19,29 @@ TREES = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.3, "minInstancesPerNode": 20
 # --- folds and the straight-line learner --------------------------------------------------
 
 LONG = (
-    "labelled AS ("
+    f"placed AS (SELECT *, coalesce({DUCK_BLOCK_KEY}, 'r' || ((row_number() OVER (PARTITION BY {DUCK_BLOCK_KEY} IS NULL ORDER BY ID) - 1) // 100)) AS block "
+    "FROM train_numeric), known AS ("
     + " UNION ALL ".join(
-        f"SELECT ID, '{x}' AS target, {x} AS y, ln(1e0 + greatest({x}, 0e0)) AS y_log, C_total AS x, {DUCK_BLOCK_KEY} AS block "
-        f"FROM train_numeric WHERE {x} IS NOT NULL"
+        f"SELECT ID, '{x}' AS target, {x} AS y, ln(1e0 + greatest({x}, 0e0)) AS y_log, C_total AS x, block FROM placed WHERE {x} IS NOT NULL"
         for x in TARGETS
     )
-    + "), known AS (SELECT * FROM labelled WHERE block IS NOT NULL)"
+    + ")"
 )
 
 # The greedy step as a recursion over the ordered blocks of each target.
 FOLDS = """sizes AS (SELECT target, block, count(*) AS n FROM known GROUP BY ALL),
-    ordered AS (SELECT target, block, n, row_number() OVER (PARTITION BY target ORDER BY n DESC, block) AS k FROM sizes),
+    ordered AS (SELECT target, block, n, row_number() OVER (PARTITION BY target ORDER BY n DESC, block) AS k FROM sizes WHERE block NOT LIKE 'r%'),
     walk AS (
       SELECT target, block, k, [n, 0, 0, 0, 0] AS loads, 0 AS fold FROM ordered WHERE k = 1
       UNION ALL
       SELECT o.target, o.block, o.k,
         list_transform(w.loads, lambda v, i: CASE WHEN i = list_position(w.loads, list_min(w.loads)) THEN v + o.n ELSE v END),
         list_position(w.loads, list_min(w.loads)) - 1
-      FROM walk w JOIN ordered o ON o.target = w.target AND o.k = w.k + 1)"""
+      FROM walk w JOIN ordered o ON o.target = w.target AND o.k = w.k + 1),
+    dealt AS (SELECT target, block, fold FROM walk
+      UNION ALL SELECT target, block, CAST(substr(block, 2) AS BIGINT) % 5 FROM sizes WHERE block LIKE 'r%')"""
 
-LINES = """folded AS (SELECT known.*, walk.fold FROM known JOIN walk USING (target, block)),
+LINES = """folded AS (SELECT known.*, dealt.fold FROM known JOIN dealt USING (target, block)),
     numbers AS (SELECT unnest(range(5)) AS fold),
     lines AS (SELECT n.fold, f.target, regr_slope(y_log, x) AS slope, regr_intercept(y_log, x) AS intercept
       FROM numbers n JOIN folded f ON f.fold <> n.fold WHERE x IS NOT NULL GROUP BY ALL),
@@ -48,7 +50,7 @@ LINES = """folded AS (SELECT known.*, walk.fold FROM known JOIN walk USING (targ
 
 
 def blocked_train(t: Tables):
-    return t.view("train_numeric").withColumn("spatial_block", block_key(F.col("Latitude"), F.col("Longitude")))
+    return folds.with_blocks(t.view("train_numeric"))
 
 
 def labelled(t: Tables):
@@ -74,7 +76,7 @@ def first_stage(t: Tables):
 
 @query(
     "ml_group_folds",
-    f"WITH {LONG}, {FOLDS} SELECT target, block AS spatial_block, n, CAST(fold AS INT) AS fold FROM walk JOIN sizes USING (target, block)",
+    f"WITH {LONG}, {FOLDS} SELECT target, block AS spatial_block, n, CAST(fold AS INT) AS fold FROM dealt JOIN sizes USING (target, block)",
     "train_numeric",
     recursive=True,
 )
@@ -149,8 +151,7 @@ def tree_rows(t: Tables, target: str):
     train, test = t.view("train_numeric"), t.view("test_measured")
     test = test.withColumn("ph", F.col("ph").try_cast("double"))
     medians = columns.fit_medians(train, FEATURES)
-    blocked = train.withColumn("spatial_block", block_key(F.col("Latitude"), F.col("Longitude")))
-    filled = columns.fill_medians(blocked, medians)
+    filled = columns.fill_medians(folds.with_blocks(train), medians)
     long = folds.labelled_long(filled, [target], ["ID", "spatial_block", *FEATURES])
     rows = learning.with_log_label(folds.with_target_folds(long))
     return rows, columns.fill_medians(test, medians).select("ID", *FEATURES)
@@ -158,7 +159,7 @@ def tree_rows(t: Tables, target: str):
 
 @query("ml_kmeans_fit")
 def ml_kmeans_fit(t: Tables):
-    return learning.fit_centres(t.view("train"), k=30, restarts=3)
+    return learning.fit_centres(t.view("train"), k=30, restarts=10)
 
 
 @query("ml_oof_fit")
@@ -170,7 +171,7 @@ def ml_oof_fit(t: Tables):
 
 @query(
     "ml_oof_fit_coverage",
-    f"""WITH {LONG}, {FOLDS}, folded AS (SELECT known.*, walk.fold FROM known JOIN walk USING (target, block))
+    f"""WITH {LONG}, {FOLDS}, folded AS (SELECT known.*, dealt.fold FROM known JOIN dealt USING (target, block))
         SELECT ID, target, CAST(fold AS INT) AS fold, y, round(y_log, 6) AS y_log, 1 AS predictions FROM folded WHERE target = 'Al'""",
     "train_numeric",
     recursive=True,
@@ -207,9 +208,10 @@ def ml_tree_test_average(t: Tables):
 @query("ml_stack_stage2")
 def ml_stack_stage2(t: Tables):
     """Straight lines as the first stage, trees with the other targets' out-of-fold predictions as the second."""
-    first = first_stage(t)
     rows, _ = tree_rows(t, "Mg")
-    stacked = joins.stage1_features(rows, first, "Mg", TARGETS)
+    # medians of the whole training table, as for the first stage's features
+    crossed = joins.stage1_features(t.view("train_numeric").select("ID"), first_stage(t), "Mg", TARGETS)
+    stacked = rows.join(crossed, "ID")
     cross = [f"oof_{x}" for x in TARGETS if x != "Mg"]
     oof, _, _ = learning.boosted_folds(stacked, [*FEATURES, *cross], stop_early=False, **TREES)
     return oof
@@ -217,15 +219,15 @@ def ml_stack_stage2(t: Tables):
 
 @query("ml_param_search")
 def ml_param_search(t: Tables):
-    """Two seeded settings, compared on the first fold."""
+    """Two seeded settings, compared over all folds."""
     rows, _ = tree_rows(t, "Al")
-    return learning.search(rows, FEATURES, learning.search_space(2), folds=[0]).orderBy("rmse_log")
+    return learning.search(rows, FEATURES, learning.search_space(2), folds=range(FOLD_COUNT)).orderBy("rmse_log")
 
 
 @query("sink_model")
 def sink_model(t: Tables):
     rows, _ = tree_rows(t, "B")
-    _, models, _ = learning.boosted_folds(rows, FEATURES, folds=2, stop_early=False, **TREES)
+    _, models, _ = learning.boosted_folds(rows, FEATURES, stop_early=False, **TREES)
     paths = write_models(models, fresh_path(t.spark, "models"), "stage1", "B")
     found = [(fold, exists(t.spark, f"{path}/metadata")) for fold, path in enumerate(paths)]
     return t.spark.createDataFrame(found, "fold int, stored boolean")

@@ -111,13 +111,21 @@ def sink_json(t: Tables):
 
 @query(
     "sink_json_list",
-    "SELECT unnest(range(7)) AS position, unnest(['site', 'Latitude', 'Longitude', 'electrical_conductivity', "
-    "'C_organic', 'C_total', 'ph']) AS name",
+    "SELECT CAST(row_number() OVER (ORDER BY place) - 1 AS BIGINT) AS position, name FROM ("
+    + " UNION ALL ".join(
+        f"SELECT {i} AS place, '{c}' AS name FROM train_numeric HAVING count(DISTINCT {c}) > 1"
+        for i, c in enumerate(["site", "Latitude", "Longitude", "electrical_conductivity", "C_organic", "C_total", "ph"])
+    )
+    + ")",
+    "train_numeric",
 )
 def sink_json_list(t: Tables):
+    """The names of the features that vary in the training rows, as one list."""
     train = t.view("train_numeric")
+    names = columns.feature_columns(train, TARGETS)
+    varies = [F.when(F.min(c) < F.max(c), F.lit(c)) for c in names]
     path = fresh_path(t.spark, "feature-list")
-    writers.write_name_list(t.spark, columns.feature_columns(train, TARGETS), path)
+    writers.write_name_list(train.agg(F.array_compact(F.array(*varies)).alias("names")), path)
     return readers.read_name_list(t.spark, path).withColumn("position", F.col("position").cast("bigint"))
 
 

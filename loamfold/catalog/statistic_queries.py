@@ -32,10 +32,11 @@ def agg_shape(t: Tables):
     "agg_dtypes",
     """SELECT column_name, CASE WHEN column_type = 'BIGINT' THEN 'bigint' WHEN column_type = 'INTEGER' THEN 'int'
          WHEN column_type = 'DOUBLE' THEN 'double' WHEN column_type = 'VARCHAR' THEN 'string'
-         WHEN column_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' END AS data_type FROM (DESCRIBE lineitem)""",
+         WHEN column_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' END AS data_type, n_values FROM (DESCRIBE lineitem)
+         JOIN (SELECT name, n_values FROM (SELECT count(COLUMNS(*)) FROM lineitem) UNPIVOT (n_values FOR name IN (*))) ON name = column_name""",
 )
 def agg_dtypes(t: Tables):
-    return statistics.column_types(t.table("lineitem")).select("column_name", "data_type")
+    return statistics.column_types(t.table("lineitem")).select("column_name", "data_type", "n_values")
 
 
 @query(
@@ -414,7 +415,7 @@ COMPOSITE = (
 @query("agg_median_composite", COMPOSITE, "scenes")
 def agg_median_composite(t: Tables):
     scenes = t.view("scenes")
-    return rounded(satellite.recent_composite(scenes, quantiles.hot_values(scenes, "pixel_id")), 9)
+    return rounded(satellite.recent_composite(scenes), 9)
 
 
 @query(
@@ -428,6 +429,6 @@ def agg_median_composite(t: Tables):
 )
 def agg_region_mean(t: Tables):
     scenes = t.view("scenes")
-    composite = satellite.recent_composite(scenes, quantiles.hot_values(scenes, "pixel_id"))
+    composite = satellite.recent_composite(scenes)
     regions = composite.withColumn("region", F.col("pixel_id") % 10)
     return rounded(satellite.site_means(regions, "S2", "s2_recent_", ["region"]), 8)

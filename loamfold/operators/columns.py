@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loamfold.functions.fixed import SEED
+from loamfold.functions.fixed import RATIO_PAIRS, SEED
 from loamfold.operators.quantiles import exact_medians
 from loamfold.session import stored
 
 _NUMERIC = (T.NumericType,)
+#: Ratios between targets, as either profile names them: they would leak the answer into the features.
+TARGET_RATIOS = [name for a, b in RATIO_PAIRS for name in (f"{a}_{b}_ratio", f"ratio_{a}_{b}")]
 
 
 def keep(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,9 +46,9 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def feature_columns(
-    df: DataFrame, targets: Sequence[str], key: str = "ID", derived: Sequence[str] = ()
+    df: DataFrame, targets: Sequence[str], key: str = "ID", derived: Sequence[str] = TARGET_RATIOS
 ) -> list[str]:
-    """Numeric columns that are neither key, nor targets, nor derived from targets."""
+    """Numeric columns that are neither key, nor targets, nor derived from targets (their logs and ratios)."""
     excluded = {key, *targets, *derived, *[f"log_{t}" for t in targets]}
     return [c for c in numeric_columns(df) if c not in excluded and not c.startswith("Target_")]
 

@@ -1,27 +1,59 @@
 """Global order without a single-task window: range partitions, then offsets.
 
 A window without a partition key, or with one hot key, sorts everything in one
-task. Here rows are range partitioned on the whole order, written once with
-the partition they fell into, and numbered inside each partition; the totals
-of the partitions give the offsets.
+task. Here rows are range partitioned on the whole order and sorted once; sums
+run along each partition as its rows stream by, and are written with them. The
+totals of the partitions give the offsets. Rows are shuffled once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loamfold.session import stored
 
 
+def _running(weights: Sequence[str]):
+    """Per row the sums of the rows before it in its partition that have the same ``_key``; rows stream through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, carried = None, dict.fromkeys(weights, 0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = batch.schema.names
+            key = batch.column(names.index("_key")).to_numpy()
+            heads = np.flatnonzero(np.concatenate([[last is None or key[0] != last], key[1:] != key[:-1]]))
+            out = {}
+            for w in weights:
+                value = batch.column(names.index(w)).fill_null(0).to_numpy().astype(np.int64)
+                before = np.concatenate([[0], np.cumsum(value)])
+                base = np.full(len(value), -carried[w])
+                # each key starts at zero where it begins in this batch
+                run_of = np.searchsorted(heads, np.arange(len(value)), side="right") - 1
+                started = run_of >= 0
+                base[started] = before[heads[run_of[started]]]
+                out[w] = before[:-1] - base
+                carried[w] = int(out[w][-1] + value[-1])
+            last = key[-1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(out[w]) for w in weights)], names=[*names, *(f"_in_{w}" for w in weights)])
+
+    return run
+
+
 def _key_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     named = right.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
     condition = F.lit(True)
     for i, key in enumerate(keys):
         condition = condition & left[key].eqNullSafe(named[f"_r{i}"])
-    return left.join(named, condition).drop(*[f"_r{i}" for i in range(len(keys))])
+    return left.join(named, condition, "left").drop(*[f"_r{i}" for i in range(len(keys))])
 
 
 def cumulated(
@@ -29,25 +61,29 @@ def cumulated(
 ) -> DataFrame:
     """Add ``before_<w>``: the sum of ``w`` over the rows of the same key that come earlier.
 
-    ``order`` must be unique within a key. Without ``parts`` the number of ranges
-    follows the session's shuffle partitions and the size of the data.
+    ``order`` must be unique within a key; weights are whole numbers. Without ``parts``
+    the number of ranges follows the session's shuffle partitions and the size of the
+    data. What is written again per row is the row itself and its sums.
     """
     keys, order = list(keys), list(order)
-    ranged = df.repartitionByRange(*([parts] if parts else []), *keys, *order)
-    chunks = stored(
-        ranged.sortWithinPartitions(*keys, *order)
-        .withColumn("_chunk", F.spark_partition_id()),
-        "ordered-chunks",
-    )
-    earlier = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = chunks.withColumns({f"_in_{w}": F.coalesce(F.sum(w).over(earlier), F.lit(0)) for w in weights})
+    ranged = df.repartitionByRange(*([parts] if parts else []), *keys, *order).sortWithinPartitions(*keys, *order)
+    marked = ranged.withColumns({"_key": F.xxhash64(F.lit(0), *[F.struct(F.col(k).isNull(), F.col(k)) for k in keys]), "_chunk": F.spark_partition_id()})
+    schema = T.StructType([*marked.schema.fields])
+    for w in weights:
+        schema = schema.add(f"_in_{w}", T.LongType())
+    chunks = stored(marked.mapInArrow(_running(weights), schema).drop("_key"), "ordered-chunks")
     totals = chunks.groupBy(*keys, "_chunk").agg(*[F.sum(w).alias(f"_sum_{w}") for w in weights])
     lower = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # only a key that spans several ranges has offsets: at most one row per range and one per key
     offsets = totals.select(
         *keys, "_chunk", *[F.coalesce(F.sum(f"_sum_{w}").over(lower), F.lit(0)).alias(f"_off_{w}") for w in weights]
-    )
-    joined = _key_join(local, offsets, [*keys, "_chunk"])
-    return joined.select(*df.columns, *[(F.col(f"_in_{w}") + F.col(f"_off_{w}")).alias(f"before_{w}") for w in weights])
+    ).where(any_nonzero([f"_off_{w}" for w in weights]))
+    joined = _key_join(chunks, stored(offsets, "chunk-offsets"), [*keys, "_chunk"])
+    return joined.select(*df.columns, *[(F.col(f"_in_{w}") + F.coalesce(F.col(f"_off_{w}"), F.lit(0))).alias(f"before_{w}") for w in weights])
+
+
+def any_nonzero(columns: Sequence[str]):
+    return reduce(lambda a, b: a | b, [F.col(c) != 0 for c in columns])
 
 
 def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index", parts: int | None = None) -> DataFrame:

@@ -36,16 +36,12 @@ def mask_strict(
 ) -> DataFrame:
     """Multiply by the mask; an id without a mask row is an error, a target the mask lacks becomes 0."""
     side = mask.select("ID", F.lit(True).alias("_found"), *_mask_columns(mask, targets))
-    joined = predictions.join(side, "ID", "left")
-    checked = F.when(F.col("_found").isNull(), F.raise_error(F.concat(F.lit("no mask row for id "), F.col("ID").cast("string"))))
-
-    def cell(t: str):
-        if t not in mask.columns:
-            return F.lit(0.0)
-        return F.coalesce(checked.cast("double"), F.col(f"{prefix}{t}") * F.col(f"_keep_{t}"))
-
+    # the check is a filter on the joined rows, so no choice of columns and no count can drop it
+    missing = F.raise_error(F.concat(F.lit("no mask row for id "), F.coalesce(F.col("ID").cast("string"), F.lit("NULL")))).cast("boolean")
+    joined = predictions.join(side, "ID", "left").where(F.when(F.col("_found").isNull(), missing).otherwise(F.lit(True)))
     present = [t for t in targets if f"{prefix}{t}" in predictions.columns]
-    return joined.withColumns({f"{prefix}{t}": cell(t) for t in present}).select(*predictions.columns)
+    cells = {f"{prefix}{t}": F.col(f"{prefix}{t}") * F.col(f"_keep_{t}") if t in mask.columns else F.lit(0.0) for t in present}
+    return joined.withColumns(cells).select(*predictions.columns)
 
 
 def blend(

@@ -3,193 +3,118 @@
 ``percentile`` keeps every distinct value of a group in one buffer, which a
 group with a third of all rows cannot afford. Here a mergeable sketch first
 brackets each wanted rank; only the values inside a bracket are then counted
-one by one, everything outside collapses to a few counts per group before the
-shuffle. The result equals ``percentile`` (linear interpolation) exactly, and
-``percentile`` itself is used when the whole table is known to be small.
+one by one and put in order, of everything outside only the number below each
+bracket is needed. The result equals ``percentile`` (linear interpolation)
+exactly. There is one plan for every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamfold.session import spread, stored
+from loamfold.operators.ordering import cumulated
+from loamfold.session import stored
 
-ACCURACY = 10_000
-SMALL_TABLE = 200_000
-
-
-def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """One row per key and column: ``(*keys, metric, value)``; NaN becomes NULL."""
-    return spread(_doubles(df, columns, keys)).unpivot(list(keys), list(columns), "metric", "value")
+ACCURACY = 1000
 
 
 def _doubles(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
     return df.select(*keys, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
 
 
-def _fits(df: DataFrame, limit: int) -> bool:
-    """Whether the table has at most ``limit`` rows. Counting reads no column a filter does not need."""
-    return limit > 0 and df.count() <= limit
+def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """One row per key and column: ``(*keys, metric, value)``; NaN becomes NULL."""
+    return _doubles(df, columns, keys).unpivot(list(keys), list(columns), "metric", "value")
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+def _brackets(column: str, fractions: Sequence[float], accuracy: int) -> list[Column]:
+    """``(lo, hi)`` per fraction, around its rank; the whole range in small groups and at the ends."""
+    slack = 2.0 / accuracy
+    probes = [min(max(p, 0.0), 1.0) for f in fractions for p in (f - slack, f + slack)]
+    least, most, found = F.min(column), F.max(column), F.percentile_approx(column, probes, accuracy)
+    out = []
+    for i, fraction in enumerate(fractions):
+        whole = F.count(column) <= 4 * accuracy
+        low = F.lit(True) if fraction <= slack else whole
+        high = F.lit(True) if fraction >= 1.0 - slack else whole
+        out.append(F.struct(F.when(low, least).otherwise(found[2 * i]).alias("lo"), F.when(high, most).otherwise(found[2 * i + 1]).alias("hi")))
+    return out
 
 
-def quantiles_of_long(
-    rows: DataFrame,
-    keys: Sequence[str],
-    fractions: Sequence[float],
-    accuracy: int = ACCURACY,
-    small_table: int = SMALL_TABLE,
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], fractions: Sequence[float], keys: Sequence[str] = (), accuracy: int = ACCURACY
 ) -> DataFrame:
-    """Exact quantiles of ``value`` per ``keys``: ``(*keys, n, q0, q1, …)``.
+    """Exact quantiles of several columns: ``(*keys, metric, n, q0, q1, …)``.
 
     A group with no value keeps a row with ``n = 0`` and NULL quantiles. Of a
-    group with more than ``4 * accuracy`` values, at most about
-    ``4 / accuracy`` of the distinct values reach the final sort, per fraction.
+    group with more than ``4 * accuracy`` values, about ``4 / accuracy`` of the
+    distinct values are put in order, per fraction. The table is read twice, and
+    only those values and one row per group, bracket and task are shuffled.
     """
-    keys = list(keys)
-    if _fits(rows, small_table):
-        all_at_once = rows.groupBy(*keys).agg(F.count("value").alias("n"), _percentiles("value", fractions).alias("_q"))
-        return all_at_once.select(*keys, "n", *_numbered("_q", fractions))
-    slack = 2.0 / accuracy
-    probes = [min(max(p, 0.0), 1.0) for f in fractions for p in (f - slack, f + slack)]
-    sketch = rows.groupBy(*keys).agg(
-        F.count("value").alias("n"),
-        F.min("value").alias("_least"),
-        F.max("value").alias("_most"),
-        F.percentile_approx("value", probes, accuracy).alias("_probes"),
+    keys, columns = list(keys), list(columns)
+    values = _doubles(df, columns, keys)
+    sketch = values.groupBy(*keys).agg(
+        *[F.struct(F.count(c).alias("n"), F.array(*_brackets(c, fractions, accuracy)).alias("b")).alias(f"_b{j}") for j, c in enumerate(columns)]
     )
-    brackets = []
-    for i, fraction in enumerate(fractions):
-        whole = F.col("n") <= 4 * accuracy
-        low = F.lit(True) if fraction <= slack else whole
-        high = F.lit(True) if fraction >= 1.0 - slack else whole
-        brackets.append(F.when(low, F.col("_least")).otherwise(F.col("_probes")[2 * i]).alias(f"_lo{i}"))
-        brackets.append(F.when(high, F.col("_most")).otherwise(F.col("_probes")[2 * i + 1]).alias(f"_hi{i}"))
-    bounds = stored(sketch.select(*keys, "n", *brackets), "quantile-bounds")
-
-    limits = bounds.select(*[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)], *bounds.columns[len(keys) :])
-    matched = F.lit(True)
-    for j, key in enumerate(keys):
-        matched = matched & rows[key].eqNullSafe(limits[f"_k{j}"])
-    inside, passed = F.lit(False), F.lit(0)
-    for i in range(len(fractions)):
-        inside = inside | F.col("value").between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
-        passed = passed + (F.col("value") > F.col(f"_hi{i}")).cast("int")
+    bounds = stored(sketch, "quantile-bounds")
+    if keys:
+        named = bounds.withColumnsRenamed({k: f"_k{j}" for j, k in enumerate(keys)})
+        matched = reduce(lambda a, b: a & b, [values[k].eqNullSafe(named[f"_k{j}"]) for j, k in enumerate(keys)])
+        bounded = values.join(named, matched).drop(*[f"_k{j}" for j in range(len(keys))])
+    else:
+        row = bounds.select(F.struct(*bounds.columns)).scalar()
+        bounded = values.withColumns({f"_b{j}": row[f"_b{j}"] for j in range(len(columns))})
+
+    # each value is one entry: itself if it lies in a bracket, else the number of brackets below it
+    entries = []
+    for j, c in enumerate(columns):
+        brackets = [F.col(f"_b{j}")["b"][i] for i in range(len(fractions))]
+        inside = reduce(lambda a, b: a | b, [F.col(c).between(x["lo"], x["hi"]) for x in brackets])
+        passed = reduce(lambda a, b: a + b, [(F.col(c) > x["hi"]).cast("int") for x in brackets])
+        entries.append(F.when(F.col(c).isNotNull(), F.struct(F.lit(j).alias("_j"), passed.alias("_gap"), F.when(inside, F.col(c) + F.lit(0.0)).alias("_kept"), F.col(c).alias("_value"))))
     cells = (
-        rows.where(F.col("value").isNotNull())
-        .join(limits, matched)
-        .groupBy(*keys, passed.alias("_gap"), F.when(inside, F.col("value")).alias("_kept"))
-        .agg(F.count("*").alias("_rows"), F.max("value").alias("_top"), F.first("n").alias("n"))
+        bounded.select(*keys, F.inline(F.array_compact(F.array(*entries))))
+        .groupBy(*keys, "_j", "_gap", "_kept")
+        .agg(F.count("*").alias("rows"), F.max("_value").alias("_top"))
     )
-    running = Window.partitionBy(*keys).orderBy("_top").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = cells.withColumn("_upto", F.sum("_rows").over(running))
-
-    def value_at(rank: Column) -> Column:
-        holds = (F.col("_upto") - F.col("_rows") <= rank) & (rank < F.col("_upto"))
-        return F.max(F.when(holds, F.col("_kept")))
+    ranked = cumulated(cells, [*keys, "_j"], ["_top"], ["rows"])
 
+    named = [F.struct(F.lit(j).alias("_j"), F.lit(c).alias("metric"), F.col(f"_b{j}")["n"].alias("n")) for j, c in enumerate(columns)]
+    groups = bounds.select(*keys, F.inline(F.array(*named)))
+    ends = [*keys, "_j"]
+    side = ranked.withColumnsRenamed({k: f"_g{j}" for j, k in enumerate(ends)})
+    placed = groups.join(side, reduce(lambda a, b: a & b, [groups[k].eqNullSafe(side[f"_g{j}"]) for j, k in enumerate(ends)]), "left")
     picked = []
     for i, fraction in enumerate(fractions):
-        position = F.lit(float(fraction)) * (F.col("n") - 1)
-        picked.append(value_at(F.floor(position)).alias(f"_below{i}"))
-        picked.append(value_at(F.ceil(position)).alias(f"_above{i}"))
-    found = ranked.groupBy(*keys).agg(*picked)
-    out = bounds.join(found, _same(bounds, found, keys), "left")
+        for name, rank in (("below", F.floor), ("above", F.ceil)):
+            at = rank(F.lit(float(fraction)) * (F.col("n") - 1))
+            holds = (F.col("before_rows") <= at) & (at < F.col("before_rows") + F.col("rows"))
+            picked.append(F.max(F.when(holds, F.col("_kept"))).alias(f"_{name}{i}"))
+    found = placed.groupBy(*keys, "metric").agg(F.max("n").alias("n"), *picked)
     results = []
     for i, fraction in enumerate(fractions):
         position = F.lit(float(fraction)) * (F.col("n") - 1)
-        weight = position - F.floor(position)
         below, above = F.col(f"_below{i}"), F.col(f"_above{i}")
-        results.append((below + (above - below) * weight).alias(f"q{i}"))
-    return out.select(*[bounds[k] for k in keys], "n", *results)
+        lost = (F.col("n") > 0) & (below.isNull() | above.isNull())
+        value = below + (above - below) * (position - F.floor(position))
+        results.append(F.when(lost, F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")).otherwise(value).alias(f"q{i}"))
+    return found.select(*keys, "metric", "n", *results)
 
 
-def _percentiles(column: str, fractions: Sequence[float]) -> Column:
-    return F.percentile(column, [float(f) for f in fractions])
-
-
-def _numbered(column: str, fractions: Sequence[float]) -> list[Column]:
-    return [F.get(column, F.lit(i)).alias(f"q{i}") for i in range(len(fractions))]
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    fractions: Sequence[float],
-    keys: Sequence[str] = (),
-    accuracy: int = ACCURACY,
-    small_table: int = SMALL_TABLE,
-) -> DataFrame:
-    """Exact quantiles of several columns: ``(*keys, metric, n, q0, q1, …)``."""
-    if not _fits(df, small_table):
-        return quantiles_of_long(long_form(df, columns, keys), [*keys, "metric"], fractions, accuracy, 0)
-    wide = (
-        spread(_doubles(df, columns, keys))
-        .groupBy(*keys)
-        .agg(*[F.struct(F.count(c).alias("n"), _percentiles(c, fractions).alias("_q")).alias(c) for c in columns])
-    )
-    entries = [F.struct(F.lit(c).alias("metric"), F.col(c)["n"].alias("n"), F.col(c)["_q"].alias("_q")) for c in columns]
-    return wide.select(*keys, F.inline(F.array(*entries))).select(*keys, "metric", "n", *_numbered("_q", fractions))
-
-
-def exact_medians(
-    df: DataFrame,
-    columns: Sequence[str],
-    keys: Sequence[str] = (),
-    accuracy: int = ACCURACY,
-    small_table: int = SMALL_TABLE,
-) -> DataFrame:
+def exact_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), accuracy: int = ACCURACY) -> DataFrame:
     """Wide exact medians: one row per key, or one row in all without keys."""
-    medians = exact_quantiles(df, columns, [0.5], keys, accuracy, small_table)
+    medians = exact_quantiles(df, columns, [0.5], keys, accuracy)
     return medians.groupBy(*keys).agg(*[F.max(F.when(F.col("metric") == c, F.col("q0"))).alias(c) for c in columns])
 
 
-def array_median(values: Column) -> Column:
-    """Median of an array without nulls."""
-    ordered = F.sort_array(values)
-    last = F.size(values) - 1
-    low, high = F.floor(last / F.lit(2.0)).cast("int"), F.ceil(last / F.lit(2.0)).cast("int")
-    return F.when(last >= 0, (F.get(ordered, low) + F.get(ordered, high)) / F.lit(2.0))
-
+def many_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Exact medians of very many groups, each of a bounded number of rows: ``(*keys, *columns)``.
 
-def grouped_medians(
-    df: DataFrame,
-    columns: Sequence[str],
-    keys: Sequence[str],
-    hot: DataFrame,
-    hot_key: str,
-) -> DataFrame:
-    """Medians for very many groups that are small except for a few hot ones.
-
-    ``hot`` lists the values of ``hot_key`` whose groups may be large; they take the
-    bracket path. Every other group has at most as many rows as ``hot_values`` lets
-    pass, so its rows may be gathered: one list per group is far cheaper than one
-    hash table of counts per group and column.
+    The caller states the bound. One buffer per group and column holds its distinct values with their counts;
+    groups without one use ``exact_medians``.
     """
-
-    def gathered(rows: DataFrame) -> DataFrame:
-        lists = rows.groupBy(*keys).agg(
-            F.collect_list(F.struct(*[F.col(c).cast("double").alias(c) for c in columns])).alias("_rows")
-        )
-        return lists.select(*keys, *[array_median(F.array_compact(F.col(f"_rows.{c}"))).alias(c) for c in columns])
-
-    if hot.isEmpty():
-        return gathered(df)
-    calm = gathered(df.join(hot, hot_key, "left_anti"))
-    return calm.unionByName(exact_medians(df.join(hot, hot_key, "left_semi"), columns, keys, small_table=0))
-
-
-def hot_values(df: DataFrame, key: str, limit: int = 100_000) -> DataFrame:
-    """Values of ``key`` with more than ``limit`` rows, stored; at most rows / limit of them exist."""
-    counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    return stored(counts.where(F.col("_rows") > limit).select(key), "hot-values")
-
+    return df.groupBy(*keys).agg(*[F.median(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in columns])

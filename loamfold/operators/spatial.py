@@ -130,6 +130,18 @@ def year_window(start_year: Column, end_year: Column) -> tuple[Column, Column]:
     return F.make_date(start_year, F.lit(1), F.lit(1)), F.make_date(end_year, F.lit(12), F.lit(31))
 
 
+def scenes_in_windows(windows: DataFrame, scenes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each window ``(*keys, start_year, end_year, …)`` with its scenes ``(*keys, ts, …)``.
+
+    A window is dealt to its years and meets only scenes of its keys and those years; the one day that the last year
+    lacks is a condition on the joined rows. No other pair is formed.
+    """
+    _, end = year_window(F.col("start_year"), F.col("end_year"))
+    years = F.when(F.col("start_year") <= F.col("end_year"), F.sequence("start_year", "end_year"))
+    dealt = windows.withColumn("_end", end).withColumn("_year", F.explode(years))
+    return dealt.join(scenes.withColumn("_year", F.year("ts")), [*keys, "_year"]).where(F.col("ts") < F.col("_end")).drop("_year", "_end")
+
+
 def centre_list(centres: DataFrame) -> list[tuple[int, float, float]]:
     """Fitted centres as model parameters: k rows, where k is chosen by the caller and checked here."""
     rows = centres.select("cluster", "c_lat", "c_lon").limit(MAX_CENTRES + 1).collect()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loamfold.functions.fixed import DESCRIBE_FRACTIONS, HISTOGRAM_BINS
 from loamfold.functions.nulls import log_positive
 from loamfold.operators.quantiles import exact_medians, exact_quantiles, long_form
-from loamfold.session import spread, stored
+from loamfold.session import stored
 
 
 def per_column(df: DataFrame, columns: Sequence[str], measures: dict[str, callable], keys: Sequence[str] = ()) -> DataFrame:
@@ -19,7 +19,7 @@ def per_column(df: DataFrame, columns: Sequence[str], measures: dict[str, callab
     The columns are stacked and combined by name on the map side: a few aggregates
     over one value column stay within generated code, hundreds over a wide row do not.
     """
-    stacked = spread(df.select(*keys, *columns)).unpivot(list(keys), list(columns), "metric", "value")
+    stacked = df.select(*keys, *columns).unpivot(list(keys), list(columns), "metric", "value")
     results = stacked.groupBy(*keys, "metric").agg(*[fn(F.col("value")).alias(name) for name, fn in measures.items()])
     if keys:
         return results
@@ -42,9 +42,12 @@ def shapes(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    """Column names, types and positions, as the schema states them."""
-    rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    """Columns with their types, as the schema states them, positions, and the values they hold."""
+    cells = [
+        F.struct(F.lit(i).alias("position"), F.lit(name).alias("column_name"), F.lit(kind).alias("data_type"), F.count(name).alias("n_values"))
+        for i, (name, kind) in enumerate(df.dtypes)
+    ]
+    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
 def missing_pct(df: DataFrame, columns: Sequence[str]) -> DataFrame:

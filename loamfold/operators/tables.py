@@ -5,16 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamfold.operators.ordering import first_per_key
 
 
 def union_locations(tables: Sequence[DataFrame], key: str = "ID") -> DataFrame:
-    """Points of several tables, the first table's row per id, complete coordinates only."""
+    """Points of several tables, the first table's row per id, complete coordinates only.
+
+    Of the rows that repeat an id in one table, the one with the smallest latitude, then longitude, counts; missing
+    ones come last.
+    """
     columns = [key, "Latitude", "Longitude"]
-    ranked = [t.select(*columns, F.lit(i).alias("_order")) for i, t in enumerate(tables)]
+
+    def place(i: int) -> Column:
+        parts = [part for c in columns[1:] for part in (F.col(c).isNull(), F.col(c))]
+        return F.struct(F.lit(i).alias("table"), *[p.alias(f"p{j}") for j, p in enumerate(parts)]).alias("_order")
+
+    ranked = [t.select(*columns, place(i)) for i, t in enumerate(tables)]
     stacked = reduce(DataFrame.unionByName, ranked)
     return first_per_key(stacked, key, "_order").drop("_order").na.drop(subset=columns[1:])
 
@@ -30,7 +39,11 @@ def union_categories(tables: Sequence[DataFrame], column: str) -> DataFrame:
 
 
 def schema_diff(df: DataFrame, template: Sequence[str]) -> DataFrame:
-    """Columns missing from and extra to a template: ``(column_name, status)``."""
-    rows = [(c, "missing") for c in template if c not in df.columns]
-    rows += [(c, "extra") for c in df.columns if c not in template]
-    return df.sparkSession.createDataFrame(rows, "column_name string, status string")
+    """Columns missing from and extra to a template, with the values they hold: ``(column_name, status, n_values)``."""
+    extra = [c for c in df.columns if c not in template]
+    entries = [(c, "missing", F.lit(0).cast("long")) for c in template if c not in df.columns]
+    entries += [(c, "extra", F.count(c)) for c in extra]
+    if not entries:
+        return df.sparkSession.createDataFrame([], "column_name string, status string, n_values long")
+    cells = [F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("status"), n.alias("n_values")) for c, s, n in entries]
+    return df.agg(F.array(*cells).alias("cells"), F.count("*")).select(F.inline("cells"))

@@ -22,7 +22,6 @@ from loamfold.operators.joins import covariate_chain, left_on_id, left_with_suff
 from loamfold.operators.ordering import label_codes
 from loamfold.operators.spatial import centre_list, nearest_centre
 from loamfold.operators.tables import union_categories
-from loamfold.session import spread
 
 
 def attach_test_dates(test: DataFrame, dates_table: DataFrame) -> DataFrame:
@@ -121,7 +120,7 @@ def build_split(
         named = located.withColumnRenamed("cluster", "spatial_cluster").drop("centre_distance")
         return covariate_chain(named, covariates)
 
-    return finish(spread(train)), finish(attach_test_dates(test, dates_table))
+    return finish(train), finish(attach_test_dates(test, dates_table))
 
 
 def build_regex(
@@ -135,7 +134,7 @@ def build_regex(
     """Train and test feature tables of the ``regex`` profile.
 
     Ratios of targets stay in the table as in the source data, but model features
-    must leave them out (``feature_columns(derived=…)``).
+    must leave them out (``feature_columns`` does).
     """
     listed = centre_list(centres)
 
@@ -148,7 +147,7 @@ def build_regex(
         merged = covariate_chain(named.drop("cluster"), [drop(c, ["Latitude", "Longitude"]) for c in covariates])
         return merged.withColumn("depth_label", F.coalesce("Depth_cm", F.lit(UNKNOWN_LABEL)))
 
-    located = [locate(spread(train)), locate(test)]
+    located = [locate(train), locate(test)]
     depth_codes = label_codes(located[0], "depth_label")
     cluster_codes = label_codes(union_categories(located, "spatial_cluster"), "spatial_cluster")
 
@@ -161,14 +160,3 @@ def build_regex(
     if log_targets:
         out_train = out_train.withColumns(chemistry.log_targets(out_train.columns, in_place=True))
     return out_train, out_test
-
-
-RATIO_COLUMNS = {
-    "split": ["Ca_Mg_ratio", "Fe_Mn_ratio", "K_Na_ratio"],
-    "regex": ["ratio_Ca_Mg", "ratio_Fe_Mn", "ratio_K_Na", "ratio_Ca_K"],
-}
-
-
-def target_derived(profile: str) -> list[str]:
-    """Columns computed from targets; they would leak the answer into the features."""
-    return [*RATIO_COLUMNS[profile], *[f"log_{t}" for t in TARGETS]]

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from loamfold.functions.fixed import CLOUD_LIMIT, RADIUS_M, RECENT_WINDOW
 from loamfold.functions.spectral import sensor_features, sensor_for_year, sensor_names
 from loamfold.operators.columns import any_of
-from loamfold.operators.quantiles import array_median, exact_medians, grouped_medians, hot_values
-from loamfold.operators.spatial import in_window, within_radius, year_window
-from loamfold.session import spread, stored
+from loamfold.operators.quantiles import many_medians
+from loamfold.operators.spatial import in_window, scenes_in_windows, within_radius
+from loamfold.session import stored
 
 ROLES = ["blue", "green", "red", "nir", "nir_narrow", "swir1", "swir2"]
 PLACE = ["Latitude", "Longitude"]
@@ -28,7 +28,7 @@ def site_means(pixels: DataFrame, sensor: str, prefix: str, keys: list[str]) ->
     return pixels.groupBy(*keys).agg(*[F.avg(c).alias(f"{prefix}{name}") for name, c in named.items()])
 
 
-def recent_composite(scenes: DataFrame, hot: DataFrame) -> DataFrame:
+def recent_composite(scenes: DataFrame) -> DataFrame:
     """Per pixel the median of each band over the fixed window.
 
     The window is the same for all points, so a pixel is composed once, however
@@ -36,35 +36,16 @@ def recent_composite(scenes: DataFrame, hot: DataFrame) -> DataFrame:
     """
     first, last = (F.lit(day).cast("date") for day in RECENT_WINDOW)
     kept = scenes.where((F.col("sensor") == "S2") & clear_enough() & in_window(F.col("ts"), first, last))
-    return grouped_medians(kept, ROLES, ["pixel_id"], hot, "pixel_id")
+    return many_medians(kept, ROLES, ["pixel_id"])
 
 
-def dated_composite(windows: DataFrame, scenes: DataFrame, hot: DataFrame) -> DataFrame:
+def dated_composite(windows: DataFrame, scenes: DataFrame) -> DataFrame:
     """Per pixel and distinct window the median of each band.
 
-    ``windows`` is ``(pixel_id, start_year, end_year, sensor)``. Many windows overlap on
-    a pixel, so the scenes of a pixel are brought together once and each window
-    picks its own from the list; a scene is shuffled once, not once per window.
-    Pixels with too many scenes for a list are joined scene by scene instead, with
-    the dates as a residual condition, and take the bracket path.
+    ``windows`` is ``(pixel_id, start_year, end_year, sensor)``. A window meets only the scenes of its own pixel, sensor
+    and years.
     """
-    start, end = year_window(F.col("start_year"), F.col("end_year"))
-    kept = scenes.where(clear_enough())
-
-    calm = kept.join(hot, "pixel_id", "left_anti")
-    lists = calm.groupBy("pixel_id", "sensor").agg(F.collect_list(F.struct("ts", *ROLES)).alias("_scenes"))
-    dated = windows.withColumns({"_start": start, "_end": end}).join(lists, ["pixel_id", "sensor"])
-    inside = F.filter("_scenes", lambda scene: in_window(scene["ts"], F.col("_start"), F.col("_end")))
-    picked = dated.select("pixel_id", *WINDOW, inside.alias("_inside")).where(F.size("_inside") > 0)
-    composed = picked.select(
-        "pixel_id", *WINDOW, *[array_median(F.array_compact(F.col(f"_inside.{role}"))).alias(role) for role in ROLES]
-    )
-    if hot.isEmpty():
-        return composed
-    matched = windows.join(kept.join(hot, "pixel_id", "left_semi"), ["pixel_id", "sensor"]).where(
-        in_window(F.col("ts"), start, end)
-    )
-    return composed.unionByName(exact_medians(matched, ROLES, ["pixel_id", *WINDOW], small_table=0))
+    return many_medians(scenes_in_windows(windows, scenes.where(clear_enough()), ["pixel_id", "sensor"]), ROLES, ["pixel_id", *WINDOW])
 
 
 def satellite_features(
@@ -72,28 +53,25 @@ def satellite_features(
     scenes: DataFrame,
     pixels: DataFrame,
     radius_m: float = RADIUS_M,
-    hot_rows: int = 100_000,
 ) -> DataFrame:
     """``points`` ``(ID, Latitude, Longitude, start_year, end_year)`` to one wide row per id.
 
     ``scenes``: ``(pixel_id, sensor, ts, cloud_pct, bands by role)``; ``pixels``:
     ``(pixel_id, Latitude, Longitude)``. Work is done per distinct place and window and
-    handed to the points at the end. A pixel with more than ``hot_rows`` scenes is never
-    gathered in one list. Means are not weighted by edge coverage.
+    handed to the points at the end. A sensor images a pixel once a day at most, so a composite
+    has at most 366 scenes a year. Means are not weighted by edge coverage.
     """
     nowhere = any_of([F.col(c).isNull() for c in PLACE])
     dated = points.where(~nowhere).withColumn("sensor", sensor_for_year(F.col("start_year")))
     sites = dated.select(*PLACE).distinct()
     near = stored(within_radius(sites, pixels, radius_m).drop("distance_m"), "near-pixels")
-    scenes = spread(scenes)
-    hot = hot_values(scenes, "pixel_id", hot_rows)
 
-    recent = near.join(recent_composite(scenes, hot), "pixel_id")
+    recent = near.join(recent_composite(scenes), "pixel_id")
     out = dated.join(site_means(recent, "S2", "s2_recent_", PLACE), PLACE, "left")
 
     pairs = stored(dated.select(*PLACE, *WINDOW).na.drop().distinct().join(near, PLACE), "window-pixels")
     composed = stored(
-        dated_composite(pairs.select("pixel_id", *WINDOW).distinct(), scenes, hot), "dated-composites"
+        dated_composite(pairs.select("pixel_id", *WINDOW).distinct(), scenes), "dated-composites"
     )
     matched = pairs.join(composed, ["pixel_id", *WINDOW])
     names = {s: sensor_features(s, {role: F.col(role) for role in ROLES}) for s in ("S2", "L8", "L7")}

@@ -23,6 +23,9 @@ def build_session(app_name: str = "loamfold", master: str | None = None, **setti
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Wide projections generate methods the JIT refuses (8000 bytes); run those without fusing stages.
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        # Read files in parts of this size, and small ones in as many parts as there are cores.
+        "spark.sql.files.maxPartitionBytes": "134217728",
+        "spark.sql.files.openCostInBytes": "1048576",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)
@@ -61,13 +64,3 @@ def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataF
     path = fresh_path(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, for steps that multiply or sort every row.
-
-    A table of fewer files than cores would be read by as many tasks as it has
-    files. Tables with enough files are returned as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)

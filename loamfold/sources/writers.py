@@ -25,10 +25,9 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_name_list(spark: SparkSession, names: Sequence[str], path: str) -> None:
-    """A list of names as one JSON array."""
-    text = F.to_json(F.array(*[F.lit(n) for n in names]))
-    spark.range(1).select(text.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+def write_name_list(names: DataFrame, path: str) -> None:
+    """The one row of ``names``, an array, as one JSON array."""
+    names.select(F.to_json("names").alias("value")).write.mode("overwrite").text(path)
 
 
 def write_documents(df: DataFrame, path: str, key: str = "key", text: str = "text") -> None:

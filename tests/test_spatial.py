@@ -59,15 +59,17 @@ def test_raster_cells_and_nodata(spark):
     assert got == {1: (1.0, 5.0), 2: (None, None), 3: (None, None), 4: (None, None)}
 
 
-def test_hot_pixels_give_the_same_composites(spark, tables):
+def test_composites_equal_a_plain_join(tables):
     from loamfold.catalog.join_queries import dated_points
-    from loamfold.plans.satellite import satellite_features
-
-    points, scenes, pixels = dated_points(tables).drop("site"), tables.view("scenes"), tables.view("pixels")
-    usual = satellite_features(points, scenes, pixels)
-    hot = satellite_features(points, scenes, pixels, hot_rows=550)
-    assert 0 < scenes.groupBy("pixel_id").count().where("count > 550").count() < pixels.count()
-    columns = [c for c in usual.columns if c != "ID"]
-    round_off = lambda df: df.select("ID", *[F.round(c, 9).alias(c) for c in columns])
-    assert round_off(usual).exceptAll(round_off(hot)).isEmpty()
-    assert round_off(hot).exceptAll(round_off(usual)).isEmpty()
+    from loamfold.functions.spectral import sensor_for_year
+    from loamfold.plans.satellite import ROLES, WINDOW, clear_enough, dated_composite
+
+    points, scenes = dated_points(tables), tables.view("scenes")
+    windows = points.select(F.col("site").alias("pixel_id"), "start_year", "end_year", sensor_for_year(F.col("start_year")).alias("sensor")).na.drop().distinct()
+    start, end = spatial.year_window(F.col("start_year"), F.col("end_year"))
+    plain = windows.join(scenes.where(clear_enough()), ["pixel_id", "sensor"]).where(spatial.in_window(F.col("ts"), start, end))
+    want = plain.groupBy("pixel_id", *WINDOW).agg(*[F.median(c).alias(c) for c in ROLES])
+    got = dated_composite(windows, scenes)
+    round_off = lambda df: df.select("pixel_id", *WINDOW, *[F.round(c, 9).alias(c) for c in ROLES])
+    assert want.count() > 0
+    assert round_off(want).exceptAll(round_off(got)).isEmpty() and round_off(got).exceptAll(round_off(want)).isEmpty()
