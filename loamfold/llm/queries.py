@@ -42,13 +42,42 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(light, ["doc_id", "piece", "ids_crc32"])
 
 
-@query("op8_superminhash")
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op8_superminhash",
+    rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+links AS (SELECT a, b FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM documents JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)""",
+)
 def superminhash(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with their near-duplicate component, links from a similarity of 0.85 on."""
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
-@query("op6_suffix_arrays")
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op6_suffix_arrays",
+    f"""WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents), b AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+windows AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, least(len(words), 10) AS n, array_to_string(list_slice(words, i, i + 9), ' ') AS win
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)),
+places AS (SELECT doc_id, n, i, array_to_string(list_slice(words, i, i + n - 1), ' ') AS win
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows) WHERE len(words) >= n)),
+hits AS (SELECT doc_id, n, i, item_id FROM places JOIN windows USING (n, win)),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)""",
+)
 def suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with the words and items of the benchmark passages they hold."""
     found = decontamination.benchmark_matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 10, ["doc_id"])
