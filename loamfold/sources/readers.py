@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,9 +61,14 @@ def list_folder(spark: SparkSession, path: str, name_pattern: str = r"([^/]+)$")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path exists on its file system."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    """Whether Spark finds the path, on any file system it reads; contents are not read."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:

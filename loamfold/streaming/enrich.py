@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,12 +12,20 @@ from loamfold.operators.columns import any_of
 from loamfold.operators.ordering import latest_per_key
 from loamfold.sources.readers import exists
 
+#: Parts of the store, by a hash of the key.
+PARTS = 64
+
 
 def read_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
     """The store without its batch column; empty before the first batch."""
     if not exists(spark, store):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(store).drop("batch")
+    return spark.read.schema(schema).parquet(store).drop("batch", "part")
+
+
+def part_of(key: str) -> Column:
+    """The part of the store that a key belongs to."""
+    return F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int").alias("part")
 
 
 def enrich_available(
@@ -35,7 +43,8 @@ def enrich_available(
 
     A record without any value is not stored, so its id stays open. Within a
     batch the latest usable record per id wins, across batches the first stored one.
-    A batch writes its own folder, so a replay after a failure replaces it.
+    A batch writes its own folder, so a replay after a failure replaces it. Folders are
+    divided by a hash of the key, and a batch reads only the parts its keys fall into.
     """
     out_schema = enrich(spark.createDataFrame([], schema)).schema
     values = [f.name for f in schema.fields if f.name not in (key, order)]
@@ -44,9 +53,12 @@ def enrich_available(
         usable = batch.where(any_of([F.col(c).isNotNull() for c in values]))
         newest = latest_per_key(usable, key, order)
         if exists(spark, store):
-            done = spark.read.schema(f"{key} {schema[key].dataType.simpleString()}, batch long").parquet(store)
-            newest = newest.join(done.where(F.col("batch") != batch_id).select(key), key, "left_anti")
-        enrich(newest).write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+            # at most PARTS numbers; they prune the folders that are read
+            touched = [row[0] for row in newest.select(part_of(key)).distinct().collect()]
+            done = spark.read.schema(f"{key} {schema[key].dataType.simpleString()}, batch long, part int").parquet(store)
+            earlier = done.where(F.col("part").isin(touched) & (F.col("batch") != batch_id)).select(key)
+            newest = newest.join(earlier, key, "left_anti")
+        enrich(newest).withColumn("part", part_of(key)).write.mode("overwrite").partitionBy("part").parquet(f"{store}/batch={batch_id}")
 
     query = (
         spark.readStream.schema(schema)
