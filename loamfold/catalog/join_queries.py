@@ -391,8 +391,7 @@ def win_label_encode(t: Tables):
 )
 def win_latest_record(t: Tables):
     usable = t.view("cache").where(F.col("a").isNotNull() | F.col("b").isNotNull())
-    first = ordering.first_per_key(usable, "ID", "seq").select("ID", F.col("seq").alias("first_seq"))
-    return ordering.latest_per_key(usable, "ID", "seq").join(first, "ID")
+    return ordering.latest_per_key(usable, "ID", "seq", first_seq=F.min("seq"))
 
 
 @query(

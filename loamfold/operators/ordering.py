@@ -13,7 +13,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,17 +121,18 @@ def label_codes(values: DataFrame, column: str, parts: int | None = None) -> Dat
     return stored(with_row_index(distinct, [column], "code", parts), "codes")
 
 
-def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The last row per key by ``order``; combines on the map side, so a hot key is no burden."""
-    return _extreme(df, key, order, F.max_by)
+def latest_per_key(df: DataFrame, key: str, order: str, **facts: Column) -> DataFrame:
+    """The last row per key by ``order``, and named aggregates of the key; combines on the map side, so a hot key is no burden."""
+    return _extreme(df, key, order, F.max_by, facts)
 
 
-def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The first row per key by ``order``."""
-    return _extreme(df, key, order, F.min_by)
+def first_per_key(df: DataFrame, key: str, order: str, **facts: Column) -> DataFrame:
+    """The first row per key by ``order``, and named aggregates of the key."""
+    return _extreme(df, key, order, F.min_by, facts)
 
 
-def _extreme(df: DataFrame, key: str, order: str, pick) -> DataFrame:
+def _extreme(df: DataFrame, key: str, order: str, pick, facts: dict[str, Column]) -> DataFrame:
     rest = [c for c in df.columns if c != key]
-    picked = df.groupBy(key).agg(pick(F.struct(*rest), F.col(order)).alias("_row"))
-    return picked.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    named = [fact.alias(name) for name, fact in facts.items()]
+    picked = df.groupBy(key).agg(pick(F.struct(*rest), F.col(order)).alias("_row"), *named)
+    return picked.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns], *facts)
