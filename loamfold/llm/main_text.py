@@ -42,6 +42,8 @@ CONTENT_WORDS = frozenset("article post entry content story body main text".spli
 #: Weights of the classifier (positive speaks for content), and of an edge between neighbours and along a parent.
 WEIGHTS = {"content": 2.5, "boiler": -8.0, "paragraph": 1.0, "heading": 0.5, "item": -0.5, "length": 1.5, "links": -4.0, "short": -0.7, "sentence": 0.5, "sign": -2.0, "start": -0.9}
 NEAR, ALONG = 1.0, 0.5
+#: Parts of a page's text outside links: above the first a wrapper with a listed word is no boilerplate, if other articles have at most the second.
+MOST, FEW = 0.5, 0.1
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+|[^>]*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -56,14 +58,44 @@ class Block:
     in_content: bool
     in_boiler: bool
     linked: int
+    wrappers: tuple[tuple[int, int], ...] = ()  # open elements marked by their words, or forms: number, and that of the article around
+    scope: int = 0  # number of the innermost open article or main part
 
 
-def _marks(name: str, rest: str, path: tuple[int, ...], inside: tuple[bool, bool, bool]) -> tuple[bool, bool, bool]:
-    """Whether an element is (in) content, boilerplate, and an article."""
+def _settled(blocks: list[Block]) -> None:
+    """Mark blocks in wrappers as boilerplate, but for wrappers that hold most of the page's text outside links.
+
+    A wrapper stays unmarked if it holds ``MOST`` of the text in articles with their elements, or ``MOST`` of all text
+    while other articles hold next to none (``FEW``). Text that is boilerplate by its elements does not count.
+    """
+    held: dict[int, int] = {}
+    articles: dict[int, int] = {}
+    scopes: dict[int, int] = {}
+    for b in blocks:
+        free = 0 if b.in_boiler else max(len(b.text) - b.linked, 0)
+        scopes[b.scope] = scopes.get(b.scope, 0) + free
+        for number, _ in b.wrappers:
+            held[number] = held.get(number, 0) + free
+            # elements are numbered as they open
+            articles[number] = articles.get(number, 0) + (free if number <= b.scope else 0)
+    whole = sum(scopes.values())
+    in_articles = whole - scopes.get(0, 0)
+
+    def marks(number: int, around: int) -> bool:
+        others = in_articles - (scopes.get(around, 0) if around else 0)
+        return articles[number] <= MOST * in_articles and (held[number] <= MOST * whole or others > FEW * whole)
+
+    for b in blocks:
+        b.in_boiler = b.in_boiler or any(marks(*w) for w in b.wrappers)
+
+
+def _marks(name: str, rest: str, inside: tuple[bool, bool, bool]) -> tuple[tuple[bool, bool, bool], bool]:
+    """Whether an element is (in) content, boilerplate by its elements, and an article; and whether its words mark it."""
     content, boiler, article = inside
+    marked = name == "form"
     if name in CONTENT_TAGS:
         content = article = True
-    if name in BOILER_TAGS or (name == "header" and not article):
+    if (name in BOILER_TAGS and name != "form") or (name == "header" and not article):
         boiler = True
     if "=" in rest or "hidden" in rest:
         for key, value in _ATTRIBUTE.findall(rest):
@@ -71,19 +103,20 @@ def _marks(name: str, rest: str, path: tuple[int, ...], inside: tuple[bool, bool
             if key in ("class", "id", "role"):
                 words = set(_NAMES.findall(value.lower()))
                 if name not in ("html", "body"):
-                    boiler = boiler or bool(words & BOILER_WORDS - ({"header", "meta", "tags"} if article else set()))
+                    marked = marked or bool(words & BOILER_WORDS - ({"header", "meta", "tags"} if article else set()))
                     content = content or bool(words & CONTENT_WORDS)
             elif key == "hidden" or (key == "aria-hidden" and "true" in value) or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
                 boiler = True
-    return content, boiler, article
+    return (content, boiler, article), marked
 
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks of shown text in page order, character references decoded, white space in a block as one space."""
     out: list[Block] = []
-    stack: list[tuple[str, int, tuple[bool, bool, bool]]] = []
+    stack: list[tuple[str, int, tuple[bool, bool, bool], tuple[tuple[int, int], ...], int]] = []
     parts: list[str] = []
     links = linked = number = at = 0
+    outside = ("", 0, (False, False, False), (), 0)
 
     def flush() -> None:
         nonlocal linked
@@ -91,8 +124,8 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                marks = stack[-1][2] if stack else (False, False, False)
-                out.append(Block(text, tuple(n for _, n, _ in stack), stack[-1][0] if stack else "", marks[0], marks[1], linked))
+                inner, _, marks, wrappers, scope = stack[-1] if stack else outside
+                out.append(Block(text, tuple(e[1] for e in stack), inner, marks[0], marks[1], linked, wrappers, scope))
         linked = 0
 
     while at < len(page):
@@ -135,8 +168,11 @@ def blocks_of(page: str) -> list[Block]:
                 stack.pop()
             if name not in VOID:
                 number += 1
-                stack.append((name, number, _marks(name, tag["rest"], (), stack[-1][2] if stack else (False, False, False))))
+                _, _, inside, wrappers, scope = stack[-1] if stack else outside
+                marks, marked = _marks(name, tag["rest"], inside)
+                stack.append((name, number, marks, (*wrappers, (number, scope)) if marked else wrappers, number if name in CONTENT_TAGS else scope))
     flush()
+    _settled(out)
     return out
 
 
