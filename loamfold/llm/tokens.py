@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 from collections.abc import Iterator
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,23 @@ class WordIds(dict):
         return self.encoded(head) + b"".join(map(self.__getitem__, rest))
 
 
+def added_tokens(vocabulary: str) -> dict[str, int]:
+    """Ids of the tokens that the tokenizer's JSON beside the ranks adds to them; a kind that takes in its surroundings is an error."""
+    path = Path(vocabulary).with_suffix(".json")
+    added = json.loads(path.read_text(encoding="utf-8"))["added_tokens"]
+    if odd := [t["content"] for t in added if t["lstrip"] or t["rstrip"] or t["single_word"]]:
+        raise ValueError(f"added tokens {odd} are not plain strings")
+    return {t["content"]: t["id"] for t in added}
+
+
+def with_added(ids_of: WordIds, text: str, added: dict[str, int], places: re.Pattern[str] | None) -> bytes:
+    """Ids of a text in which each added token, leftmost and longest first, has its own id; the parts between are texts of their own."""
+    if places is None or not places.search(text):
+        return ids_of.of(text)
+    parts = places.split(text)  # the odd ones are added tokens
+    return b"".join(added[part].to_bytes(4, "little") if i % 2 else ids_of.of(part) for i, part in enumerate(parts))
+
+
 @cache
 def word_ids(vocabulary: str) -> WordIds:
     """One cache per Python worker."""
@@ -58,22 +77,24 @@ def word_ids(vocabulary: str) -> WordIds:
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, end: int | None = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per piece of at most ``capacity`` tokens: ``doc_id, piece, start, length, ids``.
 
-    ``ids`` is binary, four little-endian bytes per id. A document's ids are those of its whole text followed by
-    ``end``. Only documents longer than the capacity are cut; every piece but the first is full. A null text is an
+    ``ids`` is binary, four little-endian bytes per id. A document's ids are those of its whole text, in which strings
+    of added tokens have their ids, followed by ``end``. Only documents longer than the capacity are cut; every piece but the first is full. A null text is an
     empty one (a piece with ``end`` alone); without ``end`` an empty document has no piece. A null key stays null;
     repeated rows are documents of their own; other columns are left out.
     """
     size = 4 * capacity
+    added = added_tokens(vocabulary)
     tail = b"" if end is None else int(end).to_bytes(4, "little")
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = word_ids(vocabulary)
+        places = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         rows: list[tuple] = []
         held = 0
         for batch in batches:
             for doc, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = ids_of.of(content.as_py() or "") + tail
+                ids = with_added(ids_of, content.as_py() or "", added, places) + tail
                 at = len(ids) % size or min(size, len(ids))
                 bounds = [0, *range(at, len(ids) + 1, size)] if ids else [0]
                 for piece, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
