@@ -157,8 +157,8 @@ def owned_secrets(spark: SparkSession, folder: str) -> DataFrame:
         *[count(of_kind(kind)).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
         F.sha2(shown(base), 256).alias("base_sha256"),
         shown(F.col("spans")).alias("spans"),
-        count(lambda s: s["owners"] == 1).alias("n_live"),
-        count(lambda s: s["owners"] > 1).alias("n_copied"),
+        count(lambda s: secrets.live(s["owners"], s["repositories"])).alias("n_live"),
+        count(lambda s: ~secrets.live(s["owners"], s["repositories"])).alias("n_copied"),
     )
 
 

@@ -2,7 +2,7 @@
 
 A text is split at the matches of each pattern: the lengths of the parts between them give the places. Only matches
 leave the scan. Candidate values are hashed and counted over distinct repositories and owners of the whole corpus: a
-value that several owners hold is a copied example, one that a single owner holds looks live.
+value that several owners or many repositories hold is a copied example; one in a few of a single owner looks live.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from loamfold.session import stored
 class Pattern:
     """``value`` is the group of the pattern that holds the secret; ``least`` its characters at least.
 
-    A pattern that is not ``base`` only proposes: its spans count if a single owner holds the value.
+    A pattern that is not ``base`` only proposes: its spans count if the value looks live.
     """
 
     kind: str
@@ -39,6 +39,15 @@ PATTERNS = [
 ]
 
 
+#: Most repositories of one owner in which a value still looks live.
+FEW = 10
+
+
+def live(owners: Column, repositories: Column) -> Column:
+    """Whether a value with so many distinct holders looks live, and not like a copied example."""
+    return (owners == 1) & (repositories <= FEW)
+
+
 def _found(text: Column, pattern: Pattern) -> Column:
     """Per match: characters between the one before and it, its own characters, and its value."""
     matches = F.regexp_extract_all(text, F.lit(pattern.regex), F.lit(0))
@@ -55,8 +64,8 @@ def secret_spans(docs: DataFrame, owner: str = "source", repository: str = "doc_
 
     Places are code points from 0, ``stop`` is exclusive, ``order`` is the pattern's place in the list. Matches of a
     pattern are leftmost and do not overlap each other. ``owners`` and ``repositories`` count the distinct holders of
-    the value in all documents (nulls are one holder). Spans of patterns that only propose are left out where more
-    than one owner holds the value or a base span overlaps. A null text is empty; rows stay, repeated ones too; an
+    the value in all documents (nulls are one holder). Spans of patterns that only propose are left out where the
+    value is not ``live`` or a base span overlaps. A null text is empty; rows stay, repeated ones too; an
     empty table gives an empty table. A kept column named ``spans`` is an error.
     """
     if "spans" in keep:
@@ -82,7 +91,7 @@ def secret_spans(docs: DataFrame, owner: str = "source", repository: str = "doc_
     known = candidates.join(owned, "value")
     names, is_base = F.array(*[F.lit(p.kind) for p in patterns]), F.array(*[F.lit(p.base) for p in patterns])
     span = F.struct("start", "order", F.element_at(names, F.col("order") + 1).alias("kind"), "stop", "owners", "repositories")
-    marked = known.withColumn("base", F.element_at(is_base, F.col("order") + 1)).where("base OR owners = 1")
+    marked = known.withColumn("base", F.element_at(is_base, F.col("order") + 1)).where(F.col("base") | live(F.col("owners"), F.col("repositories")))
     # the furthest end of base spans begun before, and the first begin of those after: does one overlap?
     before = Window.partitionBy("row").orderBy("start", "order").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("row").orderBy("start", "order").rowsBetween(1, Window.unboundedFollowing)
@@ -94,9 +103,9 @@ def secret_spans(docs: DataFrame, owner: str = "source", repository: str = "doc_
 
 
 def redacted(docs: DataFrame, mask: str = "[secret]", owner: str = "source", repository: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with spans of values that a single owner holds replaced by ``mask``; copied examples stay."""
+    """``docs`` with spans of values that look live replaced by ``mask``; copied examples stay."""
     held = secret_spans(docs.select(F.struct("*").alias("row"), F.col(text).alias("content"), F.col(owner).alias("owner"), F.col(repository).alias("repository")), "owner", "repository", ("row",), "content")
-    live = F.filter("spans", lambda s: s["owners"] == 1)
+    masked = F.filter("spans", lambda s: live(s["owners"], s["repositories"]))
     body = F.col(f"row.`{text}`")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
@@ -105,5 +114,5 @@ def redacted(docs: DataFrame, mask: str = "[secret]", owner: str = "source", rep
         fresh = F.concat(state["out"], F.substring(body, (state["at"] + 1).cast("int"), F.greatest(s["start"] - state["at"], F.lit(0)).cast("int")), F.when(s["start"] >= state["at"], F.lit(mask)).otherwise(F.lit("")))
         return F.struct(fresh.alias("out"), F.greatest(state["at"], s["stop"]).alias("at"))
 
-    done = F.aggregate(live, start, cut, lambda s: F.concat(s["out"], F.substring(body, (s["at"] + 1).cast("int"), F.length(body))))
-    return held.select(*[(F.when(F.size(live) > 0, done).otherwise(body) if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    done = F.aggregate(masked, start, cut, lambda s: F.concat(s["out"], F.substring(body, (s["at"] + 1).cast("int"), F.length(body))))
+    return held.select(*[(F.when(F.size(masked) > 0, done).otherwise(body) if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
