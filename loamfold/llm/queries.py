@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loamfold.llm import chat, decontamination, fuzzy_lines, licenses, main_text, near_duplicates, packing, quality_rules, secrets, tokens, weak_labels
+from loamfold.llm import chat, concatenated, decontamination, fill_in_middle, fuzzy_lines, licenses, main_text, near_duplicates, packing, quality_rules, secrets, tokens, vector_codes, weak_labels
 from loamfold.session import stored
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,3 +223,58 @@ def weak_label_classifier(spark: SparkSession, folder: str) -> DataFrame:
 def minimum_cut_text(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of all pages."""
     return main_text.extracted(table(spark, folder, "pages"))
+
+
+@query(
+    "op11_learned_rank_cuts",
+    r"""WITH lines AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units, sha256('7:' || doc_id) AS h FROM documents),
+drawn AS (SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM lines),
+cuts AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN text = '' OR text LIKE '%<P>%' OR text LIKE '%<S>%' OR text LIKE '%<M>%' OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM parts""",
+)
+def learned_rank_cuts(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as fill-in-middle examples cut at lines, and as rebuilt from them."""
+    made = fill_in_middle.fill_in_middle(table(spark, folder, "documents"), keep=["doc_id"])
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+@query("op12_concatenate_and_cut")
+def concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents end to end as one stream of tokens, cut into sequences of 1024."""
+    pieces = concatenated.concatenated(table(spark, folder, "documents"), byte_vocabulary())
+    return pieces.withColumn("ids_crc32", tokens.digest(F.col("ids"))).drop("ids")
+
+
+_ROUNDS = 6
+_NEAREST = "SELECT vec_id, label, part, p, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (SELECT v.*, entry, list_sum(list_transform(range(1, len(p) + 1), lambda i: (p[i] - c[i]) * (p[i] - c[i]))) AS d FROM parts v JOIN b{0} USING (part)) GROUP BY ALL"
+_AVERAGED = """sums{0} AS (SELECT part, entry, i, sum(x) AS total, count(*) AS n FROM (SELECT part, entry, unnest(p) AS x, unnest(range(1, len(p) + 1)) AS i FROM a{0}) GROUP BY ALL),
+means{0} AS (SELECT part, entry, list(CAST((total - ((total % n) + n) % n) / n AS BIGINT) ORDER BY i) AS c FROM sums{0} GROUP BY ALL),
+b{1} AS MATERIALIZED (SELECT part, entry, coalesce(m.c, b.c) AS c FROM b{0} b LEFT JOIN means{0} m USING (part, entry))"""
+_ROUND_SQL = ",\n".join(f"a{i} AS MATERIALIZED ({_NEAREST.format(i)}),\n{_AVERAGED.format(i, i + 1)}" for i in range(_ROUNDS))
+
+
+@query(
+    "op13_equal_average_search",
+    f"""WITH whole AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, label, k AS part, v[k * (len(v) // 8) + 1 : (k + 1) * (len(v) // 8)] AS p FROM whole, (SELECT unnest(range(8)) AS k)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM whole ORDER BY vec_id LIMIT 16),
+b0 AS MATERIALIZED (SELECT part, entry, p AS c FROM parts JOIN first USING (vec_id)),
+{_ROUND_SQL},
+final AS MATERIALIZED ({_NEAREST.format(_ROUNDS)}),
+codes AS (SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM final GROUP BY ALL),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{_ROUNDS})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM codes, books""",
+)
+def equal_average_search(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings as codes of eight bytes, with their errors, by vector and by label."""
+    rows, books = vector_codes.compressed(table(spark, folder, "embeddings").select("vec_id", "label", "embedding"), rounds=_ROUNDS)
+    codes = stored(rows, "vector-codes")
+    by_label = stored(codes.groupBy("label").agg(F.sum("error").alias("label_error")), "label-errors").withColumnRenamed("label", "_label")
+    joined = codes.join(by_label, F.col("label").eqNullSafe(F.col("_label")), "left")
+    return joined.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))

@@ -60,6 +60,11 @@ def added_tokens(vocabulary: str) -> dict[str, int]:
     return {t["content"]: t["id"] for t in added}
 
 
+def added_pattern(added: dict[str, int]) -> re.Pattern[str] | None:
+    """Finds the added tokens in a text, the longest first."""
+    return re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+
+
 def with_added(ids_of: WordIds, text: str, added: dict[str, int], places: re.Pattern[str] | None) -> bytes:
     """Ids of a text in which each added token, leftmost and longest first, has its own id; the parts between are texts of their own."""
     if places is None or not places.search(text):
@@ -89,7 +94,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, end: in
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = word_ids(vocabulary)
-        places = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        places = added_pattern(added)
         rows: list[tuple] = []
         held = 0
         for batch in batches:

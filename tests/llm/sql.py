@@ -2,7 +2,7 @@
 
 import duckdb
 
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 def same_rows(frame, sql, folder):
