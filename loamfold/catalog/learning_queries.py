@@ -1,20 +1,23 @@
 """Queries for folds, models, stacking, blending and checking."""
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamfold.catalog.registry import Tables, query, rounded
 from loamfold.catalog.scalar_queries import DUCK_BLOCK_KEY
 from loamfold.functions.fixed import BLEND_WEIGHTS, TARGETS
-from loamfold.functions.fixed import FOLDS as FOLD_COUNT
-from loamfold.operators import columns, folds, joins, learning, predictions
-from loamfold.plans import submission
+from loamfold.functions.nulls import from_log
+from loamfold.operators import folds, learning, predictions, trees
+from loamfold.plans import submission, training
 from loamfold.session import fresh_path
-from loamfold.sources.readers import exists
-from loamfold.sources.writers import write_models
 
 NAMES = [f"Target_{x}" for x in TARGETS]
 FEATURES = ["Latitude", "Longitude", "electrical_conductivity", "C_organic", "C_total", "ph"]
-TREES = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.3, "minInstancesPerNode": 20}
+#: Small forests, so that the queries below stay short; the plans take any settings.
+TREES = {"maxIter": 4, "maxDepth": 2, "stepSize": 0.3}
+STOPPED = {**TREES, "maxIter": 8}
+#: Rows per target and fold that a search sees.
+SEARCHED = 2000
 
 # --- folds and the straight-line learner --------------------------------------------------
 
@@ -145,16 +148,20 @@ def ml_line_scores(t: Tables):
 
 # --- boosted trees ----------------------------------------------------------------------
 
+EACH = f"{LONG}, {FOLDS}, folded AS (SELECT known.*, CAST(dealt.fold AS INT) AS fold FROM known JOIN dealt USING (target, block))"
 
-def tree_rows(t: Tables, target: str):
-    """Labelled rows of one target with folds and filled features, and the test rows."""
-    train, test = t.view("train_numeric"), t.view("test_measured")
-    test = test.withColumn("ph", F.col("ph").try_cast("double"))
-    medians = columns.fit_medians(train, FEATURES)
-    filled = columns.fill_medians(folds.with_blocks(train), medians)
-    long = folds.labelled_long(filled, [target], ["ID", "spatial_block", *FEATURES])
-    rows = learning.with_log_label(folds.with_target_folds(long))
-    return rows, columns.fill_medians(test, medians).select("ID", *FEATURES)
+
+def tree_training(t: Tables, **options) -> training.Training:
+    """All targets with boosted trees on filled features; ``options`` are those of the learner."""
+    test = t.view("test_measured").withColumn("ph", F.col("ph").try_cast("double"))
+    learner = training.BoostedTrees(FEATURES, **{"common": TREES, **options})
+    return training.Training.of(t.view("train_numeric"), test, learner)
+
+
+def first_forest(t: Tables, **options) -> tuple[training.Training, DataFrame, trees.Forest]:
+    plan = tree_training(t, **options)
+    rows = plan.rows()
+    return plan, rows, plan.learner.fit(rows, plan.learner.features(1, TARGETS))
 
 
 @query("ml_kmeans_fit")
@@ -164,73 +171,95 @@ def ml_kmeans_fit(t: Tables):
 
 @query("ml_oof_fit")
 def ml_oof_fit(t: Tables):
-    rows, _ = tree_rows(t, "Al")
-    oof, _, _ = learning.boosted_folds(rows, FEATURES, stop_early=False, **TREES)
-    return oof
+    """Out-of-fold predictions of every labelled row of all targets."""
+    _, rows, forest = first_forest(t, stop_early=False)
+    return forest.oof(rows)
+
+
+@query("ml_oof_fit_absolute")
+def ml_oof_fit_absolute(t: Tables):
+    """The same under the profile that fits absolute errors."""
+    _, rows, forest = first_forest(t, stop_early=False, common={**TREES, **trees.ABSOLUTE})
+    return forest.oof(rows)
 
 
 @query(
     "ml_oof_fit_coverage",
-    f"""WITH {LONG}, {FOLDS}, folded AS (SELECT known.*, dealt.fold FROM known JOIN dealt USING (target, block))
-        SELECT ID, target, CAST(fold AS INT) AS fold, y, round(y_log, 6) AS y_log, 1 AS predictions FROM folded WHERE target = 'Al'""",
+    f"WITH {EACH} SELECT ID, target, fold, y, round(y_log, 6) AS y_log, 1 AS predictions FROM folded",
     "train_numeric",
     recursive=True,
 )
 def ml_oof_fit_coverage(t: Tables):
-    """Every labelled row is predicted exactly once, by the model of its own fold."""
-    rows, _ = tree_rows(t, "Al")
-    oof, _, _ = learning.boosted_folds(rows, FEATURES, stop_early=False, **{**TREES, "maxIter": 2})
-    predicted = oof.groupBy("ID", "target", "fold", "y", "y_log").agg(F.count("pred_log").alias("predictions"))
+    """Every labelled row of every target is predicted exactly once, by the model of its own fold."""
+    _, rows, forest = first_forest(t, stop_early=False, common={**TREES, "maxIter": 2})
+    predicted = forest.oof(rows).groupBy("ID", "target", "fold", "y", "y_log").agg(F.count("pred_log").alias("predictions"))
     return rounded(predicted, columns=["y_log"])
 
 
 @query("ml_validation_stop")
 def ml_validation_stop(t: Tables):
-    rows, _ = tree_rows(t, "Al")
-    _, _, metrics = learning.boosted_folds(rows, FEATURES, **TREES)
-    return metrics
+    """Trees of each target and fold when the fold left out ends the growth."""
+    return first_forest(t, common=STOPPED)[2].metrics()
 
 
 @query("agg_best_iteration")
 def agg_best_iteration(t: Tables):
-    rows, _ = tree_rows(t, "Zn")
-    _, _, metrics = learning.boosted_folds(rows, FEATURES, **TREES)
-    return metrics.groupBy("target").agg(F.max("best_iteration").alias("best_iteration"))
+    return first_forest(t, common=STOPPED)[2].metrics().groupBy("target").agg(F.max("best_iteration").alias("best_iteration"))
 
 
 @query("ml_tree_test_average")
 def ml_tree_test_average(t: Tables):
-    rows, test = tree_rows(t, "Al")
-    _, models, _ = learning.boosted_folds(rows, FEATURES, stop_early=False, **TREES)
-    return learning.boosted_test_average(test, models, "Al")
+    plan, _, forest = first_forest(t, stop_early=False)
+    return forest.test(plan.test).select("ID", *[from_log(F.col(x)).alias(x) for x in TARGETS])
 
 
 @query("ml_stack_stage2")
 def ml_stack_stage2(t: Tables):
-    """Straight lines as the first stage, trees with the other targets' out-of-fold predictions as the second."""
-    rows, _ = tree_rows(t, "Mg")
-    # medians of the whole training table, as for the first stage's features
-    crossed = joins.stage1_features(t.view("train_numeric").select("ID"), first_stage(t), "Mg", TARGETS)
-    stacked = rows.join(crossed, "ID")
-    cross = [f"oof_{x}" for x in TARGETS if x != "Mg"]
-    oof, _, _ = learning.boosted_folds(stacked, [*FEATURES, *cross], stop_early=False, **TREES)
-    return oof
+    """Out-of-fold predictions of the second stage, for which the first one's of the other targets are features."""
+    return tree_training(t).both()[1].oof
 
 
 @query("ml_param_search")
 def ml_param_search(t: Tables):
-    """Two seeded settings, compared over all folds."""
-    rows, _ = tree_rows(t, "Al")
-    return learning.search(rows, FEATURES, learning.search_space(2), folds=range(FOLD_COUNT)).orderBy("rmse_log")
+    """Eight seeded settings per target: all on the first fold, two on the others."""
+    plan = tree_training(t)
+    return trees.search(plan.rows(), plan.learner.features(1, TARGETS), trees.search_space(8, most_trees=4), trained=SEARCHED)
 
 
-@query("sink_model")
+@query(
+    "ml_tuned_fit",
+    f"WITH {EACH} SELECT target, fold, true AS as_stored, count(*) AS n_predicted FROM folded GROUP BY ALL",
+    "train_numeric",
+    recursive=True,
+)
+def ml_tuned_fit(t: Tables):
+    """Models fitted with the settings that a search stored: whether each has those of its target, and the rows it predicts."""
+    plan = tree_training(t)
+    rows, features = plan.rows(), plan.learner.features(1, TARGETS)
+    path = fresh_path(t.spark, "settings")
+    trees.write_settings(trees.search(rows, features, trees.search_space(2, most_trees=4), survivors=1, trained=SEARCHED), path)
+    stored_settings = trees.read_settings(t.spark, path)
+    forest = trees.fit_forest(rows, features, stored_settings, stop_early=False)
+    own = [(f.target, f.fold, f.settings == stored_settings[f.target] and f.trees == stored_settings[f.target]["maxIter"]) for f in forest.fits]
+    counted = forest.oof(rows).groupBy("target", "fold").agg(F.count("pred_log").alias("n_predicted"))
+    return t.spark.createDataFrame(own, "target string, fold int, as_stored boolean").join(counted, ["target", "fold"])
+
+
+@query(
+    "sink_model",
+    f"WITH {EACH} SELECT 'stage1' AS stage, target, fold, count(*) AS n, count(*) AS n_equal FROM folded GROUP BY ALL",
+    "train_numeric",
+    recursive=True,
+)
 def sink_model(t: Tables):
-    rows, _ = tree_rows(t, "B")
-    _, models, _ = learning.boosted_folds(rows, FEATURES, stop_early=False, **TREES)
-    paths = write_models(models, fresh_path(t.spark, "models"), "stage1", "B")
-    found = [(fold, exists(t.spark, f"{path}/metadata")) for fold, path in enumerate(paths)]
-    return t.spark.createDataFrame(found, "fold int, stored boolean")
+    """All models stored and loaded through their manifest: the rows for which the loaded one predicts what the one in memory does."""
+    _, rows, forest = first_forest(t, stop_early=False, common={**TREES, "maxIter": 2})
+    path = fresh_path(t.spark, "models")
+    forest.save(path, "stage1")
+    loaded = trees.load_forest(t.spark, path, "stage1").oof(rows).withColumnRenamed("pred_log", "_loaded")
+    both = forest.oof(rows).join(loaded.select("ID", "target", "_loaded"), ["ID", "target"], "full")
+    equal = F.count_if(F.col("pred_log").eqNullSafe(F.col("_loaded"))).alias("n_equal")
+    return both.groupBy(F.lit("stage1").alias("stage"), "target", "fold").agg(F.count("*").alias("n"), equal)
 
 
 # --- stage choice, blending, masking, checking ------------------------------------------

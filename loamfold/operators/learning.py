@@ -1,31 +1,22 @@
 """Per-target models on spatial folds: out-of-fold predictions, fold averages, search, clustering.
 
-The fold, scatter and averaging steps do not depend on the learner. Two
-learners are provided: a straight line per fold, fitted for all targets and
-folds from one aggregate pass, and boosted trees from Spark ML.
+The fold, scatter and averaging steps do not depend on the learner. The
+straight line per target and fold is here, fitted for all of them from one
+aggregate pass; boosted trees are in ``trees``.
 """
 
 from __future__ import annotations
 
-import random
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from collections.abc import Sequence
 
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamfold.functions.fixed import FOLDS, SEED
 from loamfold.functions.nulls import clip_lower, from_log, log_positive
-from loamfold.session import stored
-
-PARALLEL_FITS = 4
+from loamfold.session import side_by_side, stored
 
 
 # --- straight line per target and fold -------------------------------------------------
@@ -198,133 +189,6 @@ def best_stage(macro: DataFrame) -> DataFrame:
     return macro.agg(F.min_by("stage", F.struct("macro_rmse", "stage")).alias("stage"))
 
 
-# --- boosted trees ----------------------------------------------------------------------
-
-
-def boosted(
-    features: Sequence[str], label: str = "y_log", prediction: str = "pred_log", **settings
-) -> Pipeline:
-    """Feature assembly and boosted trees as one pipeline."""
-    options = {"maxIter": 100, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8, "seed": SEED, **settings}
-    gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol=prediction, **options)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_features"), gbt])
-
-
-def best_iteration(model: PipelineModel, validation: DataFrame) -> int:
-    """Number of trees with the smallest error on the validation fold."""
-    vectors = model.stages[0].transform(validation)
-    losses = model.stages[-1].evaluateEachIteration(vectors, "squared")
-    return min(range(len(losses)), key=lambda i: losses[i]) + 1
-
-
-def _side_by_side(spark: SparkSession, fn: Callable, items: Sequence, parallelism: int) -> list:
-    """Results of ``fn`` per item, in order; each call submits its own Spark jobs."""
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(fn), items))
-
-
-def _rows_by_fold(long: DataFrame, columns: Sequence[str]) -> DataFrame:
-    ordered = long.select(*columns, "fold").repartitionByRange("fold", "ID").sortWithinPartitions("fold", "ID")
-    return stored(ordered, "fold-rows", partition_by=["fold"])
-
-
-def boosted_folds(
-    long: DataFrame,
-    features: Sequence[str],
-    folds: int = FOLDS,
-    stop_early: bool = True,
-    parallelism: int = PARALLEL_FITS,
-    **settings,
-) -> tuple[DataFrame, list[PipelineModel], DataFrame]:
-    """Fit one target on each fold's complement, several folds at a time.
-
-    Returns the out-of-fold rows ``(ID, target, fold, y, y_log, pred_log)``, the
-    models, and the metrics ``(target, fold, best_iteration)``. With ``stop_early`` a
-    model is refitted with the number of trees that did best on its held-out fold.
-    The rows are stored once in one folder per fold and sorted by id, so every fit
-    reads the same layout and skips the held-out folder.
-    """
-    spark = long.sparkSession
-    rows = _rows_by_fold(long, ["ID", "target", "y", "y_log", *features])
-    target = rows.first()["target"]
-    used = sorted(row["fold"] for row in rows.where(F.col("fold") < folds).select("fold").distinct().collect())
-
-    def fit(fold: int) -> tuple[PipelineModel, int]:
-        seen, held = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
-        model = boosted(features, **settings).fit(seen)
-        trees = len(model.stages[-1].trees)
-        if stop_early and (best := best_iteration(model, held)) < trees:
-            return boosted(features, **{**settings, "maxIter": best}).fit(seen), best
-        return model, trees
-
-    fitted = _side_by_side(spark, fit, used, parallelism)
-    models = [model for model, _ in fitted]
-    metrics = [(target, fold, trees) for fold, (_, trees) in zip(used, fitted)]
-    parts = [
-        model.transform(rows.where(F.col("fold") == fold)).select("ID", "target", "fold", "y", "y_log", "pred_log")
-        for fold, model in zip(used, models)
-    ]
-    oof = reduce(DataFrame.unionByName, parts)
-    return oof, models, spark.createDataFrame(metrics, "target string, fold int, best_iteration int")
-
-
-def boosted_test_average(test: DataFrame, models: Sequence[PipelineModel], target: str) -> DataFrame:
-    """Mean of the fold models on the test rows, transformed back and floored at zero: ``(ID, target)``.
-
-    All models score a row in the same pass, so the mean needs no shuffle.
-    """
-    scored = models[0].stages[0].transform(test)
-    names = [f"_fold{i}" for i in range(len(models))]
-    for name, model in zip(names, models):
-        scored = model.stages[-1].copy().setPredictionCol(name).transform(scored)
-    mean = reduce(lambda a, b: a + b, [F.col(n) for n in names]) / F.lit(float(len(names)))
-    return scored.select("ID", from_log(mean).alias(target))
-
-
-def search_space(trials: int, seed: int = SEED) -> list[dict]:
-    """Seeded random settings; rates are drawn on a log scale."""
-    draw = random.Random(seed)
-    return [
-        {
-            "maxIter": draw.choice([5, 10, 20]),
-            "stepSize": 10 ** draw.uniform(-2, -1),
-            "maxDepth": draw.randint(2, 4),
-            "minInstancesPerNode": draw.randint(10, 100),
-            "subsamplingRate": draw.uniform(0.5, 1.0),
-            "featureSubsetStrategy": str(round(draw.uniform(0.4, 1.0), 3)),
-        }
-        for _ in range(trials)
-    ]
-
-
-def search(
-    long: DataFrame,
-    features: Sequence[str],
-    candidates: Sequence[dict],
-    folds: Sequence[int] = tuple(range(FOLDS)),
-    parallelism: int = PARALLEL_FITS,
-) -> DataFrame:
-    """Mean fold RMSE (log scale) per setting: ``(trial, settings, rmse_log)``.
-
-    With one fold only, settings are compared on that fold alone.
-    """
-    rows = _rows_by_fold(long, ["ID", "target", "y_log", *features])
-    evaluator = RegressionEvaluator(labelCol="y_log", predictionCol="pred_log", metricName="rmse")
-
-    def score(task: tuple[int, int]) -> float:
-        trial, fold = task
-        model = boosted(features, **candidates[trial]).fit(rows.where(F.col("fold") != fold))
-        return evaluator.evaluate(model.transform(rows.where(F.col("fold") == fold)))
-
-    tasks = [(trial, fold) for trial in range(len(candidates)) for fold in folds]
-    scores = _side_by_side(long.sparkSession, score, tasks, parallelism)
-    results = []
-    for trial, settings in enumerate(candidates):
-        own = [s for (t, _), s in zip(tasks, scores) if t == trial]
-        results.append((trial, str(sorted(settings.items())), float(sum(own) / len(own))))
-    return long.sparkSession.createDataFrame(results, "trial int, settings string, rmse_log double")
-
-
 # --- clustering -------------------------------------------------------------------------
 
 
@@ -350,7 +214,7 @@ def fit_centres(points: DataFrame, k: int, restarts: int = 10, seed: int = SEED)
         model = KMeans(k=k, seed=seed + attempt, featuresCol="_place", weightCol="weight").fit(vectors)
         return model.summary.trainingCost, attempt, model
 
-    best = min(_side_by_side(points.sparkSession, fit, range(restarts), PARALLEL_FITS), key=lambda run: run[:2])[2]
+    best = min(side_by_side(points.sparkSession, fit, range(restarts)), key=lambda run: run[:2])[2]
     vectors.unpersist()
     rows = [(i, float(c[0]), float(c[1])) for i, c in enumerate(best.clusterCenters())]
     return points.sparkSession.createDataFrame(rows, "cluster int, c_lat double, c_lon double")

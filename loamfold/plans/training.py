@@ -1,68 +1,205 @@
-"""The two-stage training plan over all targets, with the straight-line learner.
+"""The two-stage training plan over all targets, for any learner.
 
-Stage 1 fits one line per target and fold and predicts every labelled row out of fold and every test row by the mean
-of the folds. Stage 2 fits lines on what stage 1 says of the row's *other* targets. All targets and folds are fitted
-in one aggregate pass per stage; rows meet only the targets x folds lines.
+Stage 1 predicts every labelled row out of fold and every test row by the mean of the fold models. Stage 2 sees, beside
+the features, what stage 1 says of the row's *other* targets. These are pivoted once for all targets, next to the wide
+rows; a target's own prediction is left out by name. Two learners: straight lines, all fitted in one aggregate pass, and
+boosted trees, fitted side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamfold.functions.fixed import TARGETS
+from loamfold.functions.fixed import FOLDS, TARGETS
 from loamfold.functions.nulls import from_log
-from loamfold.operators import folds, learning
+from loamfold.operators import columns, folds, learning, trees
 from loamfold.session import stored
 
 
+class Fitted(Protocol):
+    """Models of all targets and folds."""
+
+    def oof(self, rows: DataFrame) -> DataFrame:
+        """``(ID, target, fold, y, y_log, pred_log)`` of labelled rows, each by the model that did not see its fold."""
+
+    def test(self, test: DataFrame) -> DataFrame:
+        """``(ID, <target>…)``: mean of the fold models, log scale."""
+
+
+class Learner(Protocol):
+    """What ``two_stages`` needs: its columns, how gaps are filled, which features a target has, and a fit."""
+
+    base: Sequence[str]
+
+    def filled(self, train: DataFrame, test: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]: ...
+
+    def crossed(self, frame: DataFrame, targets: Sequence[str]) -> DataFrame: ...
+
+    def features(self, stage: int, targets: Sequence[str]) -> dict[str, list[str]]: ...
+
+    def fit(self, rows: DataFrame, features: Mapping[str, Sequence[str]]) -> Fitted: ...
+
+
+def oof_name(target: str) -> str:
+    return f"oof_{target}"
+
+
+@dataclass(frozen=True)
+class FittedLines:
+    lines: DataFrame
+    features: Mapping[str, Sequence[str]]
+
+    def oof(self, rows: DataFrame) -> DataFrame:
+        predicted = (F.col("slope") * _own_feature(self.features) + F.col("intercept")).alias("pred_log")
+        return rows.join(self.lines, ["target", "fold"]).select("ID", "target", "fold", "y", "y_log", predicted)
+
+    def test(self, test: DataFrame) -> DataFrame:
+        fitted = learning.line_parameters(self.lines)
+
+        def mean(target: str) -> Column:
+            # the mean of lines is a line
+            slope, intercept = (sum(line[part] for line in fitted[target]) / len(fitted[target]) for part in (0, 1))
+            return F.lit(slope) * F.col(self.features[target][0]) + F.lit(intercept)
+
+        return test.select("ID", *[(mean(t) if t in fitted else F.lit(None).cast("double")).alias(t) for t in self.features])
+
+
+def _own_feature(features: Mapping[str, Sequence[str]]) -> Column:
+    """The one feature of the row's target."""
+    names = {t: f[0] for t, f in features.items()}
+    if len(set(names.values())) == 1:
+        return F.col(next(iter(names.values())))
+    return F.coalesce(*[F.when(F.col("target") == t, F.col(name)) for t, name in names.items()])
+
+
+@dataclass(frozen=True)
+class Lines:
+    """A straight line on ``x``, then one on the mean of the other targets' predictions. Gaps stay: such rows are not predicted."""
+
+    x: str
+
+    @property
+    def base(self) -> list[str]:
+        return [self.x]
+
+    def filled(self, train: DataFrame, test: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        return train, test
+
+    def crossed(self, frame: DataFrame, targets: Sequence[str]) -> DataFrame:
+        """Add ``others_<target>``, in place of the single predictions."""
+
+        def others(target: str) -> Column:
+            rest = F.array_compact(F.array(*[F.col(oof_name(t)) for t in targets if t != target]))
+            return F.when(F.size(rest) > 0, F.aggregate(rest, F.lit(0.0), lambda a, b: a + b) / F.size(rest)).alias(f"others_{target}")
+
+        kept = [c for c in frame.columns if c not in {oof_name(t) for t in targets}]
+        return frame.select(*kept, *[others(t) for t in targets])
+
+    def features(self, stage: int, targets: Sequence[str]) -> dict[str, list[str]]:
+        return {t: [self.x if stage == 1 else f"others_{t}"] for t in targets}
+
+    def fit(self, rows: DataFrame, features: Mapping[str, Sequence[str]]) -> FittedLines:
+        return FittedLines(learning.fit_lines(rows.withColumn("_x", _own_feature(features)), "_x"), features)
+
+
+@dataclass(frozen=True)
+class BoostedTrees:
+    """Boosted trees on ``base``, then on it and the other targets' predictions. Gaps get the median of the training table's column.
+
+    ``settings`` are those of single targets, as a search stores them; ``common`` those of all.
+    """
+
+    base: Sequence[str]
+    common: Mapping[str, object] = field(default_factory=dict)
+    settings: Mapping[str, Mapping] = field(default_factory=dict)
+    stop_early: bool = True
+    trained: int = trees.TRAINED
+
+    def filled(self, train: DataFrame, test: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        medians = columns.fit_medians(train, names)
+        return columns.fill_medians(train, medians), columns.fill_medians(test, medians)
+
+    def crossed(self, frame: DataFrame, targets: Sequence[str]) -> DataFrame:
+        return frame
+
+    def features(self, stage: int, targets: Sequence[str]) -> dict[str, list[str]]:
+        return {t: [*self.base, *([oof_name(o) for o in targets if o != t] if stage == 2 else [])] for t in targets}
+
+    def fit(self, rows: DataFrame, features: Mapping[str, Sequence[str]]) -> trees.Forest:
+        return trees.fit_forest(rows, features, self.settings, FOLDS, self.stop_early, self.trained, **self.common)
+
+
 @dataclass(frozen=True)
 class Stage:
-    """``oof``: ``(ID, target, fold, y, y_log, pred_log)`` of labelled rows; ``test``: ``(ID, target, pred_log)``."""
+    """``oof`` and ``test`` as a ``Fitted`` gives them, stored, and the models."""
 
     oof: DataFrame
     test: DataFrame
+    models: Fitted
 
     def scores(self) -> DataFrame:
         """RMSE per target on the original scale."""
         return learning.rmse_pooled(self.oof.where(F.col("pred_log").isNotNull()).withColumn("pred", F.expm1("pred_log")))
 
     def predictions(self, prefix: str = "Target_") -> DataFrame:
-        return learning.to_wide(self.test.withColumn("pred", from_log(F.col("pred_log"))), "pred", TARGETS, prefix)
+        return self.test.select("ID", *[from_log(F.col(t)).alias(f"{prefix}{t}") for t in self.test.columns if t != "ID"])
 
 
-def of_other_targets(long: DataFrame) -> DataFrame:
-    """Add ``others``: the mean ``pred_log`` of the row's other targets; NULL where it has none.
+def _rows(train: DataFrame, fold_table: DataFrame, targets: Sequence[str], names: Sequence[str]) -> DataFrame:
+    long = folds.labelled_long(train, targets, ["ID", "spatial_block", *names]).join(fold_table, ["target", "spatial_block"])
+    return trees.fold_layout(learning.with_log_label(long), names)
 
-    A row has one entry per target at most, so its group is bounded.
-    """
-    entries = F.collect_list(F.struct(*[c for c in long.columns if c != "ID"]))
-    per_row = long.groupBy("ID").agg(F.sum("pred_log").alias("_sum"), F.count("pred_log").alias("_n"), entries.alias("_rows"))
-    rows = per_row.select("ID", "_sum", "_n", F.inline("_rows"))
-    own = F.coalesce(F.col("pred_log"), F.lit(0.0))
-    rest = F.col("_n") - F.col("pred_log").isNotNull().cast("int")
-    return rows.withColumn("others", F.when(rest > 0, (F.col("_sum") - own) / rest)).drop("_sum", "_n")
 
+def _stage(learner: Learner, rows: DataFrame, test: DataFrame, number: int, targets: Sequence[str]) -> Stage:
+    fitted = learner.fit(rows, learner.features(number, targets))
+    return Stage(stored(fitted.oof(rows), f"oof-{number}"), stored(fitted.test(test), f"test-{number}"), fitted)
 
-def two_stages(train: DataFrame, test: DataFrame, x: str, targets: Sequence[str] = TARGETS) -> tuple[Stage, Stage]:
-    """Both stages of wide ``train`` (``ID``, place, targets, ``x``) and ``test`` (``ID``, ``x``).
 
-    Rows without ``x`` have no first-stage prediction, and rows without another target's none in the second.
-    """
-    blocked = folds.with_blocks(train)
-    long = folds.labelled_long(blocked, targets, ["ID", "spatial_block", x])
-    rows = stored(learning.with_log_label(folds.with_target_folds(long)).select("ID", "target", "fold", "y", "y_log", x), "training-rows")
-    lines = learning.fit_lines(rows, x)
-    first_oof = learning.line_oof(rows, lines, x).join(rows.select("ID", "target", "y_log"), ["ID", "target"])
-    first_test = learning.fold_mean(learning.line_test(test, lines, x))
-    first = Stage(stored(first_oof, "first-oof"), stored(first_test, "first-test"))
-
-    crossed = stored(of_other_targets(first.oof).select("ID", "target", "fold", "y", "y_log", "others"), "stage2-rows")
-    second_lines = learning.fit_lines(crossed, "others")
-    second_oof = crossed.join(second_lines, ["target", "fold"]).withColumn("pred_log", F.col("slope") * F.col("others") + F.col("intercept"))
-    seen = of_other_targets(first.test).select("ID", "target", "others").join(second_lines, "target")
-    second_test = learning.fold_mean(seen.withColumn("pred_log", F.col("slope") * F.col("others") + F.col("intercept")))
-    return first, Stage(second_oof.select("ID", "target", "fold", "y", "y_log", "pred_log"), second_test)
+@dataclass(frozen=True)
+class Training:
+    """Wide ``train`` (``ID``, place, targets, features) and ``test`` tables prepared for a learner."""
+
+    learner: Learner
+    train: DataFrame
+    test: DataFrame
+    fold_table: DataFrame
+    targets: Sequence[str] = tuple(TARGETS)
+
+    @classmethod
+    def of(cls, train: DataFrame, test: DataFrame, learner: Learner, targets: Sequence[str] = TARGETS) -> Training:
+        placed, seen = learner.filled(folds.with_blocks(train), test, learner.base)
+        wide = stored(placed.select("ID", "spatial_block", *learner.base, *[t for t in targets if t not in learner.base]), "training-table")
+        table = folds.target_folds(folds.labelled_long(wide, targets, ["ID", "spatial_block"]))
+        return cls(learner, wide, stored(seen.select("ID", *learner.base), "test-table"), table, targets)
+
+    def rows(self) -> DataFrame:
+        """Labelled rows of all targets in folders per target and fold."""
+        return _rows(self.train, self.fold_table, self.targets, self.learner.base)
+
+    def first(self) -> Stage:
+        return _stage(self.learner, self.rows(), self.test, 1, self.targets)
+
+    def second(self, first: Stage) -> Stage:
+        """On the rows with the other targets' predictions: out of fold for labelled rows, the fold mean for test rows."""
+        names = [oof_name(t) for t in self.targets]
+        pivoted = stored(learning.to_wide(first.oof, "pred_log", self.targets, "oof_"), "crossed")
+        train = self.train.join(pivoted, "ID", "left")
+        test = self.test.join(first.test.select("ID", *[F.col(t).alias(oof_name(t)) for t in self.targets]), "ID", "left")
+        train, test = self.learner.filled(train, test, names)
+        crossed, seen = (self.learner.crossed(frame, self.targets) for frame in (train, test))
+        used = sorted({name for own in self.learner.features(2, self.targets).values() for name in own})
+        return _stage(self.learner, _rows(crossed, self.fold_table, self.targets, used), seen, 2, self.targets)
+
+    def both(self) -> tuple[Stage, Stage]:
+        first = self.first()
+        return first, self.second(first)
+
+
+def two_stages(train: DataFrame, test: DataFrame, learner: Learner, targets: Sequence[str] = TARGETS) -> tuple[Stage, Stage]:
+    """Both stages of ``train`` and ``test``; see ``Training``. Targets without a labelled row have no models and NULL predictions."""
+    return Training.of(train, test, learner, targets).both()

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -16,6 +18,8 @@ def build_session(app_name: str = "loamfold", master: str | None = None, **setti
         builder = builder.master(master)
     defaults = {
         "spark.sql.session.timeZone": "UTC",
+        # Work submitted by several threads shares the executors instead of queueing behind the first.
+        "spark.scheduler.mode": "FAIR",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Split a skewed side even where that costs one more shuffle afterwards.
@@ -64,3 +68,19 @@ def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataF
     path = fresh_path(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Spark jobs that independent pieces of work, such as the fits of many models, submit at a time.
+PARALLEL_JOBS = 8
+
+
+def side_by_side[A, B](spark: SparkSession, work: Callable[[A], B], items: Sequence[A], parallelism: int = PARALLEL_JOBS) -> list[B]:
+    """Results of ``work`` per item, in order; each call submits its Spark jobs from a thread and a scheduler pool of its own."""
+
+    def pooled(numbered: tuple[int, A]) -> B:
+        number, item = numbered
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"side-{number % parallelism}")
+        return work(item)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(pooled), enumerate(items)))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,14 +34,6 @@ def write_documents(df: DataFrame, path: str, key: str = "key", text: str = "tex
     df.select(key, F.col(text).alias("value")).write.mode("overwrite").partitionBy(key).text(path)
 
 
-def write_models(models: Sequence[PipelineModel], path: str, stage: str, target: str) -> list[str]:
-    """One folder per stage, target and fold."""
-    paths = [f"{path}/stage={stage}/target={target}/fold={fold}" for fold in range(len(models))]
-    for model, target_path in zip(models, paths):
-        model.write().overwrite().save(target_path)
-    return paths
-
-
 def memo_table(spark: SparkSession, path: str, compute: Callable[[], DataFrame]) -> DataFrame:
     """The stored table if a finished write is present, else compute, store and read it back."""
     if not exists(spark, f"{path}/_SUCCESS"):

@@ -1,11 +1,16 @@
 """Invariants of folds, out-of-fold predictions, stacking and search; metamorphic checks of prediction tables."""
 
+from functools import reduce
+
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamfold.catalog.learning_queries import FEATURES, TREES, blocked_train, labelled, tree_rows
+from loamfold.catalog.learning_queries import FEATURES, blocked_train, labelled
 from loamfold.functions.fixed import TARGETS
-from loamfold.operators import folds, joins, learning, predictions, tables
+from loamfold.operators import folds, joins, learning, predictions, tables, trees
+from loamfold.plans import training
+from loamfold.session import fresh_path
 
 
 def test_blocks_stay_whole_and_folds_are_balanced(tables):
@@ -53,15 +58,94 @@ def test_row_wise_forms_agree_with_the_long_forms(tables):
     assert six(scattered).exceptAll(six(direct)).isEmpty() and six(direct).exceptAll(six(scattered)).isEmpty()
 
 
-def test_boosted_folds(spark, tables):
-    rows, test = tree_rows(tables, "Al")
-    oof, models, metrics = learning.boosted_folds(rows, FEATURES, folds=3, **{**TREES, "maxIter": 3})
-    assert oof.groupBy("ID").count().where("count > 1").isEmpty()
-    assert oof.where("fold >= 3").isEmpty()
-    assert all(1 <= r["best_iteration"] <= 3 for r in metrics.collect())
-    averaged = learning.boosted_test_average(test, models, "Al")
-    assert averaged.count() == test.count()
-    assert averaged.where("Al < 0 or Al is null").isEmpty()
+SOME = ["Al", "Zn"]
+SMALL_TREES = {"maxIter": 3, "maxDepth": 2, "stepSize": 0.3}
+
+
+@pytest.fixture(scope="module")
+def forest(tables):
+    train = tables.view("train_numeric")
+    test = tables.view("test_measured").withColumn("ph", F.col("ph").try_cast("double"))
+    plan = training.Training.of(train, test, training.BoostedTrees(FEATURES, SMALL_TREES, stop_early=False), SOME)
+    rows = plan.rows()
+    return plan, rows, plan.learner.fit(rows, plan.learner.features(1, SOME))
+
+
+def test_every_target_and_fold_has_a_model(forest):
+    plan, rows, fitted = forest
+    assert [(f.target, f.fold) for f in fitted.fits] == [(t, k) for t in SOME for k in range(5)]
+    assert {f.trees for f in fitted.fits} == {3}
+    oof = fitted.oof(rows)
+    assert oof.groupBy("ID", "target").count().where("count > 1").isEmpty() and oof.count() == rows.count()
+    test = fitted.test(plan.test)
+    assert test.columns == ["ID", *SOME] and test.count() == plan.test.count() and test.where("Al is null or Zn is null").isEmpty()
+
+
+def test_the_mean_of_the_fold_models_is_that_of_each_model_alone(forest):
+    plan, _, fitted = forest
+    alone = [f.model.transform(plan.test).select("ID", F.col("pred_log").alias("p")) for f in fitted.fits if f.target == "Zn"]
+    mean = reduce(DataFrame.unionByName, alone).groupBy("ID").agg(F.avg("p").alias("p"))
+    both = mean.join(fitted.test(plan.test), "ID")
+    assert both.count() == plan.test.count() and both.where("abs(p - Zn) > 1e-9").isEmpty()
+
+
+def test_a_stopped_fit_is_the_same_however_long_it_may_run(tables, forest):
+    plan, rows, _ = forest
+    runs = []
+    for most in (12, 20):
+        fitted = trees.fit_forest(rows, plan.learner.features(1, SOME), maxIter=most, maxDepth=3, stepSize=0.5)
+        runs.append({(f.target, f.fold): f.trees for f in fitted.fits})
+        assert all(1 <= n <= most for n in runs[-1].values()) and min(runs[-1].values()) < most
+    assert {k: n for k, n in runs[0].items() if n < 12} == {k: runs[1][k] for k, n in runs[0].items() if n < 12}
+
+
+def test_models_come_back_through_their_manifest(spark, forest):
+    plan, rows, fitted = forest
+    path = fresh_path(spark, "models")
+    manifest = fitted.save(path, "stage1").collect()
+    assert {(r["target"], r["fold"], r["trees"]) for r in manifest} == {(f.target, f.fold, 3) for f in fitted.fits}
+    loaded = trees.load_forest(spark, path, "stage1")
+    assert [(f.target, f.fold, f.features, f.settings) for f in loaded.fits] == [(f.target, f.fold, f.features, f.settings) for f in fitted.fits]
+    ordered = lambda g: sorted(map(tuple, g.oof(rows).collect()))
+    assert ordered(loaded) == ordered(fitted)
+
+
+def test_the_sample_of_a_fit_is_bounded_and_depends_on_ids(forest):
+    _, rows, _ = forest
+    counts = {(r["target"], r["fold"]): r["count"] for r in rows.groupBy("target", "fold").count().collect()}
+    assert trees.training_sample(rows, 10_000).count() == sum(counts.values())
+    few = trees.training_sample(rows, 40)
+    again = trees.training_sample(rows.repartition(3), 40)
+    sizes = {(r["target"], r["fold"]): r["count"] for r in few.groupBy("target", "fold").count().collect()}
+    assert sizes.keys() == counts.keys() and all(10 < n < 80 for n in sizes.values())
+    assert few.exceptAll(again).isEmpty() and again.exceptAll(few).isEmpty()
+
+
+def test_second_stage_of_trees(forest):
+    plan, _, _ = forest
+    first, second = plan.both()
+    for f in second.models.fits:
+        assert f"oof_{f.target}" not in f.features and [c for c in f.features if c.startswith("oof_")] == [f"oof_{t}" for t in SOME if t != f.target]
+    key = ["ID", "target", "fold", "y"]
+    assert first.oof.select(key).exceptAll(second.oof.select(key)).isEmpty() and first.oof.count() == second.oof.count()
+    assert second.predictions().where("Target_Al < 0 or Target_Al is null or Target_Zn is null").isEmpty()
+
+
+def test_search_keeps_the_best_of_the_first_fold(spark, forest):
+    plan, rows, _ = forest
+    space = trees.search_space(4, most_trees=4)
+    found = trees.search(rows, plan.learner.features(1, SOME), space, survivors=2, trained=500)
+    path = fresh_path(spark, "settings")
+    trees.write_settings(found, path)
+    settings = trees.read_settings(spark, path)
+    for target in SOME:
+        own = {r["trial"]: r for r in found.where(F.col("target") == target).collect()}
+        assert len(own) == 4 and sum(r["pruned"] for r in own.values()) == 2 and sum(r["best"] for r in own.values()) == 1
+        assert all(r["n_folds"] == (1 if r["pruned"] else 5) for r in own.values())
+        best = min((r["rmse_log"], k) for k, r in own.items() if not r["pruned"])[1]
+        assert own[best]["best"] and settings[target] == space[best]
+    absolute = trees.fit_forest(rows, plan.learner.features(1, SOME), settings, stop_early=False, **trees.ABSOLUTE)
+    assert all(f.model.stages[-1].getLossType() == "absolute" and f.trees == settings[f.target]["maxIter"] for f in absolute.fits)
 
 
 def test_stage2_leaves_own_target_out(spark, tables):
