@@ -3,8 +3,8 @@
 ``percentile`` keeps every distinct value of a group in one buffer, which a
 group with a third of all rows cannot afford. Here a mergeable sketch first
 brackets each wanted rank; only the values inside a bracket are then counted
-one by one and put in order, of everything outside only the number below each
-bracket is needed. The result equals ``percentile`` (linear interpolation)
+one by one and put in order, of all others the number below each bracket is
+enough. The result equals ``percentile`` (linear interpolation)
 exactly. There is one plan for every size.
 """
 
@@ -31,6 +31,10 @@ def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -
     return _doubles(df, columns, keys).unpivot(list(keys), list(columns), "metric", "value")
 
 
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], names: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[name]) for k, name in zip(keys, names, strict=True)])
+
+
 def _brackets(column: str, fractions: Sequence[float], accuracy: int) -> list[Column]:
     """``(lo, hi)`` per fraction, around its rank; the whole range in small groups and at the ends."""
     slack = 2.0 / accuracy
@@ -52,8 +56,10 @@ def exact_quantiles(
 
     A group with no value keeps a row with ``n = 0`` and NULL quantiles. Of a
     group with more than ``4 * accuracy`` values, about ``4 / accuracy`` of the
-    distinct values are put in order, per fraction. The table is read twice, and
-    only those values and one row per group, bracket and task are shuffled.
+    distinct values are put in order, per fraction. The table is read three
+    times: for the sketches, for the numbers of values below each bracket, which
+    are plain aggregates of the wide row, and for the values inside a bracket,
+    the only ones that become rows of their own.
     """
     keys, columns = list(keys), list(columns)
     values = _doubles(df, columns, keys)
@@ -63,38 +69,53 @@ def exact_quantiles(
     bounds = stored(sketch, "quantile-bounds")
     if keys:
         named = bounds.withColumnsRenamed({k: f"_k{j}" for j, k in enumerate(keys)})
-        matched = reduce(lambda a, b: a & b, [values[k].eqNullSafe(named[f"_k{j}"]) for j, k in enumerate(keys)])
-        bounded = values.join(named, matched).drop(*[f"_k{j}" for j in range(len(keys))])
+        bounded = values.join(named, _same(values, named, keys, [f"_k{j}" for j in range(len(keys))])).drop(*[f"_k{j}" for j in range(len(keys))])
     else:
-        row = bounds.select(F.struct(*bounds.columns)).scalar()
-        bounded = values.withColumns({f"_b{j}": row[f"_b{j}"] for j in range(len(columns))})
-
-    # each value is one entry: itself if it lies in a bracket, else the number of brackets below it
-    entries = []
-    for j, c in enumerate(columns):
-        brackets = [F.col(f"_b{j}")["b"][i] for i in range(len(fractions))]
-        inside = reduce(lambda a, b: a | b, [F.col(c).between(x["lo"], x["hi"]) for x in brackets])
-        passed = reduce(lambda a, b: a + b, [(F.col(c) > x["hi"]).cast("int") for x in brackets])
-        entries.append(F.when(F.col(c).isNotNull(), F.struct(F.lit(j).alias("_j"), passed.alias("_gap"), F.when(inside, F.col(c) + F.lit(0.0)).alias("_kept"), F.col(c).alias("_value"))))
-    cells = (
-        bounded.select(*keys, F.inline(F.array_compact(F.array(*entries))))
-        .groupBy(*keys, "_j", "_gap", "_kept")
-        .agg(F.count("*").alias("rows"), F.max("_value").alias("_top"))
-    )
-    ranked = cumulated(cells, [*keys, "_j"], ["_top"], ["rows"])
+        bounded, row = values, bounds.first()
 
-    named = [F.struct(F.lit(j).alias("_j"), F.lit(c).alias("metric"), F.col(f"_b{j}")["n"].alias("n")) for j, c in enumerate(columns)]
+    def bracket(j: int, i: int, end: str) -> Column:
+        # without keys there is one row of bounds, two numbers per column and fraction: literals
+        return F.col(f"_b{j}")["b"][i][end] if keys else F.lit(row[f"_b{j}"]["b"][i][end]).cast("double")
+
+    places = range(len(fractions))
+    counted = bounded.groupBy(*keys).agg(*[F.count_if(F.col(c) < bracket(j, i, "lo")).alias(f"_c{j}_{i}") for j, c in enumerate(columns) for i in places])
+    below = [F.struct(F.lit(j).alias("_j"), F.array(*[F.col(f"_c{j}_{i}") for i in places]).alias("_below")) for j in range(len(columns))]
+    # as arrays, so that the expression stays small with any number of columns and fractions
+    if keys:
+        brackets = F.array(*[F.col(f"_b{j}")["b"] for j in range(len(columns))])
+    else:
+        brackets = F.array(*[F.array(*[F.struct(bracket(j, i, "lo").alias("lo"), bracket(j, i, "hi").alias("hi")) for i in places]) for j in range(len(columns))])
+
+    def entry(cell: Column, j: Column) -> Column:
+        value = cell["value"]
+        inside = F.exists(cell["brackets"], lambda b: value.between(b["lo"], b["hi"]))
+        return F.when(inside, F.struct(j.alias("_j"), (value + F.lit(0.0)).alias("_value")))
+
+    entries = F.transform(F.arrays_zip(F.array(*[F.col(c) for c in columns]).alias("value"), brackets.alias("brackets")), entry)
+    held = bounded.select(*keys, F.filter(entries, lambda e: e.isNotNull()).alias("_held")).where(F.size("_held") > 0)
+    cells = held.select(*keys, F.inline("_held")).groupBy(*keys, "_j", "_value").agg(F.count("*").alias("rows"))
+    ranked = stored(cumulated(cells, [*keys, "_j"], ["_value"], ["rows"]), "quantile-cells")
+
+    named = [F.struct(F.lit(j).alias("_j"), F.lit(c).alias("metric"), F.col(f"_b{j}")["n"].alias("n"), F.col(f"_b{j}")["b"]["lo"].alias("_lo")) for j, c in enumerate(columns)]
     groups = bounds.select(*keys, F.inline(F.array(*named)))
     ends = [*keys, "_j"]
-    side = ranked.withColumnsRenamed({k: f"_g{j}" for j, k in enumerate(ends)})
-    placed = groups.join(side, reduce(lambda a, b: a & b, [groups[k].eqNullSafe(side[f"_g{j}"]) for j, k in enumerate(ends)]), "left")
+
+    def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+        renamed = right.withColumnsRenamed({k: f"_g{j}" for j, k in enumerate(ends)})
+        return left.join(renamed, _same(left, renamed, ends, [f"_g{j}" for j in range(len(ends))]), "left").drop(*[f"_g{j}" for j in range(len(ends))])
+
+    whole = beside(groups, counted.select(*keys, F.inline(F.array(*below))))
+    # a rank, less the values below its bracket, counts from the first cell of the bracket
+    first = [F.coalesce(F.sum(F.when(F.col("_value") < F.col("_lo")[i], F.col("rows"))), F.lit(0)).alias(f"_f{i}") for i in places]
+    shifts = beside(groups, ranked).groupBy(*ends).agg(*first)
+    whole = beside(whole, shifts)
     picked = []
     for i, fraction in enumerate(fractions):
         for name, rank in (("below", F.floor), ("above", F.ceil)):
-            at = rank(F.lit(float(fraction)) * (F.col("n") - 1))
+            at = rank(F.lit(float(fraction)) * (F.col("n") - 1)) - F.col("_below")[i] + F.col(f"_f{i}")
             holds = (F.col("before_rows") <= at) & (at < F.col("before_rows") + F.col("rows"))
-            picked.append(F.max(F.when(holds, F.col("_kept"))).alias(f"_{name}{i}"))
-    found = placed.groupBy(*keys, "metric").agg(F.max("n").alias("n"), *picked)
+            picked.append(F.max(F.when(holds, F.col("_value"))).alias(f"_{name}{i}"))
+    found = beside(whole, ranked).groupBy(*keys, "metric").agg(F.max("n").alias("n"), *picked)
     results = []
     for i, fraction in enumerate(fractions):
         position = F.lit(float(fraction)) * (F.col("n") - 1)
