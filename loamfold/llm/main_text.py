@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +25,7 @@ HELD = 1 << 22
 # Fixed values of HTML: elements that begin and end a block of text, that have no end, and whose text is never shown.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math object canvas audio video select datalist button".split())
+RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg annotation annotation-xml object canvas audio video select datalist".split())
 CLOSED_BY = {"p": BLOCKS, "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}), "tr": frozenset({"tr", "tbody", "tfoot", "thead"}), "td": frozenset({"td", "th", "tr"}), "th": frozenset({"td", "th", "tr"}), "option": frozenset({"option", "optgroup"}), "head": frozenset({"body"})}
 # Fixed values of the classifier: elements and words of class, id and role that mark boilerplate or content.
 BOILER_TAGS = frozenset("nav footer aside form dialog menu fieldset address search".split())
@@ -39,84 +39,156 @@ BOILER_WORDS = frozenset(
     form hidden print contentinfo complementary navigation""".split()
 )
 CONTENT_WORDS = frozenset("article post entry content story body main text".split())
-#: Weights of the classifier (positive speaks for content), and of an edge between neighbours and along a parent.
-WEIGHTS = {"content": 2.5, "boiler": -8.0, "paragraph": 1.0, "heading": 0.5, "item": -0.5, "length": 1.5, "links": -4.0, "short": -0.7, "sentence": 0.5, "sign": -2.0, "start": -0.9}
-NEAR, ALONG = 1.0, 0.5
-#: Parts of a page's text outside links: above the first a wrapper with a listed word is no boilerplate, if other articles have at most the second.
+# Of the words of boilerplate, those of parts that are long on some pages: their length never speaks for them; and those of readers' comments.
+FIRM_WORDS = frozenset(
+    """comment comments commentlist disqus reply replies respond responses discussion cookie cookies consent gdpr notice notices notification
+    alert popup modal overlay paywall newsletter subscribe signup login search sidebar nav navbar navigation menu menubar breadcrumb breadcrumbs
+    related recommended recommendations trending popular ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promoted""".split()
+)
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond responses discussion".split())
+# Classes that begin so tell of the state or the subject of what they are on, not of its purpose.
+STATES = frozenset("no not has with without is hide show category tag type format status".split())
+#: Weights of the classifier (positive speaks for content), and of an edge between neighbours, along a parent, and from a heading to what it heads.
+WEIGHTS = {"content": 2.5, "boiler": -8.0, "paragraph": 1.0, "heading": 0.5, "item": 1.55, "cell": 1.65, "length": 1.5, "links": -4.0, "short": -0.7, "sentence": 0.5, "sign": -2.0, "start": -0.9}
+NEAR, ALONG, HEAD = 1.0, 0.5, 1.5
+#: Parts of text in sentences: a wrapper with a listed word that holds the page's article leaves at most the second outside;
+#: one that holds the first part of the text in articles counts as holding the article.
 MOST, FEW = 0.5, 0.1
+#: Tags of a page whose quotes do not end before the page does, after which quotes of other tags count no longer.
+UNQUOTED = 8
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+|[^>]*)>""", re.S)
+_MARKUP = r"""<!--.*?(?:-->|\Z)|{data}<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>{rest})>"""
+_DATA, _QUOTED, _PLAIN = r"<!\[CDATA\[(?P<data>.*?)\]\]>|", r"""(?:[^>"']|"[^"]*"|'[^']*')*+""", r"[^>]*"
+#: By whether sections of character data, and quotes, still count.
+_TAGS = {(d, q): re.compile(_MARKUP.format(data=_DATA if d else "(?P<data>(?!))|", rest=f"{_QUOTED}|(?P<open>{_PLAIN})" if q else f"(?P<open>(?!))|{_PLAIN}"), re.S) for d in (True, False) for q in (True, False)}
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAMES = re.compile(r"[a-z0-9]+")
+_HEADING = re.compile("h[1-6]")
+#: Characters that end a sentence, and elements that hold running text.
+ENDS = ".!?…\"'”"
+INLINE = frozenset("p li td th dd dt h1 h2 h3 h4 h5 h6 blockquote pre figcaption caption".split())
+
+
+@dataclass
+class Element:
+    """An open block element; its number is its place in page order, and that of the page itself is 0."""
+
+    name: str
+    parent: int
+    depth: int
+    content: bool = False
+    boiler: bool = False
+    article: bool = False  # in an article or main part
+    words: frozenset[str] | None = None  # listed words of its class, id and role, if it has one or is a form
+    near_content: int = 0  # number of the innermost element around that is content
 
 
 @dataclass
 class Block:
     text: str
-    path: tuple[int, ...]  # numbers of the open block elements
+    element: int
     inner: str
     in_content: bool
     in_boiler: bool
     linked: int
-    wrappers: tuple[tuple[int, int], ...] = ()  # open elements marked by their words, or forms: number, and that of the article around
-    scope: int = 0  # number of the innermost open article or main part
+
+    @property
+    def told(self) -> int:
+        """Characters outside links of what reads like sentences."""
+        return max(len(self.text) - self.linked, 0) if self.text[-1] in ENDS and self.text.count(" ") >= 4 or len(self.text) >= 80 else 0
 
 
-def _settled(blocks: list[Block]) -> None:
-    """Mark blocks in wrappers as boilerplate, but for wrappers that hold most of the page's text outside links.
+def _settled(blocks: list[Block], elements: list[Element]) -> None:
+    """Mark blocks in wrappers as boilerplate, but for wrappers that hold the page's article.
 
-    A wrapper stays unmarked if it holds ``MOST`` of the text in articles with their elements, or ``MOST`` of all text
-    while other articles hold next to none (``FEW``). Text that is boilerplate by its elements does not count.
+    What counts is text in sentences, within the wrapper and outside it; that of boilerplate by its elements, and that
+    of other wrappers, is not counted outside. A wrapper with the page's heading, or with most of the text in articles,
+    holds the article if less is told outside (if it has a firm word and no heading: next to nothing). Without these,
+    next to nothing may be told outside, and one with a firm word needs an element of content as well, and nothing outside.
     """
-    held: dict[int, int] = {}
-    articles: dict[int, int] = {}
-    scopes: dict[int, int] = {}
+    n = len(elements)
+    marked = [0] * n  # number of the innermost marked element, itself included
+    own, held, articles = [0] * n, [0] * n, [0] * n
+    heads, inner_content = [0] * n, [0] * n
+    for i in range(1, n):
+        e = elements[i]
+        marked[i] = i if e.words is not None else marked[e.parent]
     for b in blocks:
-        free = 0 if b.in_boiler else max(len(b.text) - b.linked, 0)
-        scopes[b.scope] = scopes.get(b.scope, 0) + free
-        for number, _ in b.wrappers:
-            held[number] = held.get(number, 0) + free
-            # elements are numbered as they open
-            articles[number] = articles.get(number, 0) + (free if number <= b.scope else 0)
-    whole = sum(scopes.values())
-    in_articles = whole - scopes.get(0, 0)
-
-    def marks(number: int, around: int) -> bool:
-        others = in_articles - (scopes.get(around, 0) if around else 0)
-        return articles[number] <= MOST * in_articles and (held[number] <= MOST * whole or others > FEW * whole)
-
+        if not b.in_boiler:
+            wrapper = marked[b.element]
+            own[wrapper] += b.told
+            held[b.element] += b.told
+            heads[b.element] += b.inner == "h1"
+            inner_content[wrapper] += b.told if elements[b.element].near_content >= wrapper > 0 else 0
+    for i in range(n - 1, 0, -1):
+        e = elements[i]
+        if e.name in CONTENT_TAGS:
+            articles[i] = held[i]
+        for sums in (held, articles, heads):
+            sums[e.parent] += sums[i]
+    outside = [0] * n
+    for i in range(1, n):
+        e = elements[i]
+        if e.words is None:
+            e.boiler = e.boiler or elements[e.parent].boiler
+            continue
+        up = marked[e.parent]
+        outside[i] = outside[up] + own[up]
+        firm, few = bool(e.words & FIRM_WORDS), outside[i] <= FEW * held[i]
+        headed, story = heads[i] > 0, 0 < MOST * articles[0] < articles[i]
+        if headed:
+            holds = held[i] > outside[i]
+        elif story:
+            holds = (few if firm else held[i] > outside[i]) and heads[0] == 0
+        elif firm:
+            holds = outside[i] == 0 < inner_content[i] and not e.words & COMMENT_WORDS
+        else:
+            holds = few and held[i] > 0 and heads[0] == 0
+        e.boiler = e.boiler or not holds or elements[e.parent].boiler
     for b in blocks:
-        b.in_boiler = b.in_boiler or any(marks(*w) for w in b.wrappers)
+        b.in_boiler = b.in_boiler or elements[b.element].boiler
 
 
-def _marks(name: str, rest: str, inside: tuple[bool, bool, bool]) -> tuple[tuple[bool, bool, bool], bool]:
-    """Whether an element is (in) content, boilerplate by its elements, and an article; and whether its words mark it."""
-    content, boiler, article = inside
-    marked = name == "form"
-    if name in CONTENT_TAGS:
-        content = article = True
-    if (name in BOILER_TAGS and name != "form") or (name == "header" and not article):
-        boiler = True
+def _opened(name: str, rest: str, number: int, parent: int, around: Element) -> Element:
+    """The element of a start tag, with what it has from the one around it."""
+    e = Element(name, parent, around.depth + 1, around.content, around.boiler, around.article, near_content=around.near_content)
+    words: set[str] = set()
+    content = name in CONTENT_TAGS
+    if content:
+        e.article = True
+    e.boiler = e.boiler or (name in BOILER_TAGS and name != "form") or (name == "header" and not e.article)
     if "=" in rest or "hidden" in rest:
         for key, value in _ATTRIBUTE.findall(rest):
-            key = key.lower()
+            key, value = key.lower(), value.lower()
             if key in ("class", "id", "role"):
-                words = set(_NAMES.findall(value.lower()))
                 if name not in ("html", "body"):
-                    marked = marked or bool(words & BOILER_WORDS - ({"header", "meta", "tags"} if article else set()))
-                    content = content or bool(words & CONTENT_WORDS)
+                    for one in value.strip("\"'").split():
+                        parts = _NAMES.findall(one)
+                        if parts and not (key == "class" and parts[0] in STATES):
+                            words.update(parts)
             elif key == "hidden" or (key == "aria-hidden" and "true" in value) or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-                boiler = True
-    return (content, boiler, article), marked
+                e.boiler = True
+    listed = words & BOILER_WORDS - ({"header", "meta", "tags"} if e.article else set())
+    if listed or name == "form":
+        e.words = frozenset(listed)
+    if content or words & CONTENT_WORDS:
+        e.content, e.near_content = True, number
+    return e
+
 
+def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
+    """Blocks of shown text in page order, character references decoded, white space in a block as one space; and the elements.
 
-def blocks_of(page: str) -> list[Block]:
-    """Blocks of shown text in page order, character references decoded, white space in a block as one space."""
+    Takes time in proportion to the page: what never ends is looked for once.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, int, tuple[bool, bool, bool], tuple[tuple[int, int], ...], int]] = []
+    elements = [Element("", -1, 0)]
+    stack = [0]
+    opened: Counter[str] = Counter()  # open elements by name
     parts: list[str] = []
-    links = linked = number = at = 0
-    outside = ("", 0, (False, False, False), (), 0)
+    links = linked = at = unquoted = 0
+    last, data = page.rfind(">") + 1, page.rfind("]]>")
+    loose = ("<!--", "<!", "<?")
 
     def flush() -> None:
         nonlocal linked
@@ -124,13 +196,21 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                inner, _, marks, wrappers, scope = stack[-1] if stack else outside
-                out.append(Block(text, tuple(e[1] for e in stack), inner, marks[0], marks[1], linked, wrappers, scope))
+                e = elements[stack[-1]]
+                out.append(Block(text, stack[-1], e.name, e.content, e.boiler, linked))
         linked = 0
 
+    def close(depth: int) -> None:
+        for number in stack[depth:]:
+            opened[elements[number].name] -= 1
+        del stack[depth:]
+
     while at < len(page):
-        tag = _TAG.search(page, at)
+        tag = _TAGS[at <= data, unquoted < UNQUOTED].search(page, at, last) if at < last else None
         text = page[at : tag.start()] if tag else page[at:]
+        if not tag:
+            # a comment or declaration that does not end is none of the text
+            text = text[: min((k for k in map(text.find, loose) if k >= 0), default=len(text))]
         if text:
             parts.append(text)
             linked += len(text) if links else 0
@@ -139,9 +219,12 @@ def blocks_of(page: str) -> list[Block]:
         at = tag.end()
         if tag["data"] is not None:
             parts.append(html.escape(tag["data"]))
-        name = (tag["name"] or "").lower()
-        if not name:
+        if tag["name"] is None:
+            if tag[0].startswith("<!--") and not tag[0].endswith("-->"):
+                break  # it ends nowhere, or after the last tag
             continue
+        unquoted += tag["open"] is not None
+        name = tag["name"].lower()
         if name == "br" or name == "img":
             parts.append(" ")
         if tag["end"]:
@@ -149,51 +232,60 @@ def blocks_of(page: str) -> list[Block]:
                 links = 0
             elif name in BLOCKS:
                 flush()
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-                if depth is not None:
-                    del stack[depth:]
+                if opened[name]:
+                    close(next(i for i in range(len(stack) - 1, 0, -1) if elements[stack[i]].name == name))
             continue
-        if name in RAW:
+        # the text of a button counts where it stands within a sentence
+        if name in RAW or (name == "button" and not (elements[stack[-1]].name in INLINE and "".join(parts).strip())):
             if name in BLOCKS or name in ("iframe", "object", "video"):
                 flush()
             if not tag["rest"].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at, last)
                 at = end.end() if end else len(page)
             continue
         if name == "a":
             links = 1
         elif name in BLOCKS:
             flush()
-            while stack and name in CLOSED_BY.get(stack[-1][0], ()):
-                stack.pop()
+            while len(stack) > 1 and name in CLOSED_BY.get(elements[stack[-1]].name, ()):
+                close(len(stack) - 1)
             if name not in VOID:
-                number += 1
-                _, _, inside, wrappers, scope = stack[-1] if stack else outside
-                marks, marked = _marks(name, tag["rest"], inside)
-                stack.append((name, number, marks, (*wrappers, (number, scope)) if marked else wrappers, number if name in CONTENT_TAGS else scope))
+                elements.append(_opened(name, tag["rest"], len(elements), stack[-1], elements[stack[-1]]))
+                stack.append(len(elements) - 1)
+                opened[name] += 1
     flush()
-    _settled(out)
-    return out
+    _settled(out, elements)
+    return out, elements
 
 
 def cost(block: Block) -> float:
     """Log odds of content by the linear classifier."""
     w, n = WEIGHTS, len(block.text)
     score = w["start"] + w["content"] * block.in_content + w["boiler"] * block.in_boiler
-    score += w["paragraph"] if block.inner in ("p", "pre", "blockquote") else w["heading"] if re.fullmatch("h[1-6]", block.inner) else w["item"] if block.inner in ("li", "td", "th", "dd", "dt") else 0.0
-    score += w["length"] * min(n / 120, 1.0) + w["links"] * min(block.linked / n, 1.0) + w["short"] * (block.text.count(" ") < 3)
-    return score + w["sentence"] * (block.text[-1] in ".!?…\"'”") + w["sign"] * ("©" in block.text)
+    heading = bool(_HEADING.fullmatch(block.inner))
+    kind = "paragraph" if block.inner in ("p", "pre", "blockquote") else "heading" if heading else "item" if block.inner == "li" else "cell" if block.inner in ("td", "th", "dd", "dt") else None
+    score += w[kind] if kind else 0.0
+    score += w["length"] * min(n / 120, 1.0) + w["links"] * min(block.linked / n, 1.0) + w["short"] * (block.text.count(" ") < 3 and not heading)
+    return score + w["sentence"] * (block.text[-1] in ENDS) + w["sign"] * ("©" in block.text)
 
 
-def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
-    """Edges between neighbours, and between a block and the next under the same parent."""
+def edges_of(blocks: list[Block], elements: list[Element]) -> list[tuple[int, int, float]]:
+    """Edges between neighbours, between a block and the next under the same parent, and from a heading to what it heads."""
     edges, last = [], {}
     for i, block in enumerate(blocks):
         if i:
-            a, b = blocks[i - 1].path, block.path
-            common = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-            edges.append((i - 1, i, NEAR / (1 + max(len(a) + len(b) - 2 * common - 2, 0))))
-        parent = block.path[:-1]
+            # steps up from both to the element around both; over a page these are at most twice its elements
+            a, b, steps = blocks[i - 1].element, block.element, 0
+            while a != b:
+                if elements[a].depth >= elements[b].depth:
+                    a = elements[a].parent
+                else:
+                    b = elements[b].parent
+                steps += 1
+            edges.append((i - 1, i, NEAR / (1 + max(steps - 2, 0))))
+            if _HEADING.fullmatch(blocks[i - 1].inner) and steps <= 5:
+                edges.append((i - 1, i, HEAD))
+        parent = elements[block.element].parent
         if parent in last and last[parent] != i - 1:
             edges.append((last[parent], i, ALONG))
         last[parent] = i
@@ -255,8 +347,8 @@ def minimum_cut(costs: list[float], edges: list[tuple[int, int, float]]) -> list
 
 def main_text(page: str | None) -> tuple[str, int, int]:
     """The main text of a page, its number of blocks, and of those kept."""
-    blocks = blocks_of(page or "")
-    content = minimum_cut([cost(b) for b in blocks], edges_of(blocks))
+    blocks, elements = blocks_of(page or "")
+    content = minimum_cut([cost(b) for b in blocks], edges_of(blocks, elements))
     kept = [b.text for b, c in zip(blocks, content, strict=True) if c]
     return "\n".join(kept), len(blocks), len(kept)
 
