@@ -1,18 +1,26 @@
 """Correlation matrices over complete pairs, safe for constant columns.
 
-A row is turned into one small record per pair of columns and the records
-are combined by pair number on the map side, so only one partial result per
-pair and task is shuffled, whatever the number of rows.
+For the Pearson matrix each task folds its rows into one block of co-moments
+(matrix products over Arrow batches, no copy of a row per pair); blocks of
+tasks are merged by pair. Elsewhere a row is turned into one small record per
+pair of columns, and the records are combined by pair on the map side. Either
+way one partial result per pair and task is shuffled, whatever the number of rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamfold.operators.ordering import cumulated
+from loamfold.session import stored
+
+#: What a task knows of a pair: complete rows, means, centred sums of squares and products, least and greatest values.
+MOMENTS = "pair int, n long, mx double, my double, cxx double, cyy double, cxy double, lx double, hx double, ly double, hy double"
 
 
 def safe_corr(x: Column, y: Column) -> Column:
@@ -59,11 +67,80 @@ def _plain_corr(x: str, y: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+def _of_batch(values: np.ndarray) -> list[np.ndarray]:
+    """Matrices over pairs of columns (NaN: missing): ``[i, j]`` is about column i in the rows where i and j are present."""
+    here = ~np.isnan(values)
+    some = here.any(axis=0)
+    # sums are taken from a value of the column, so that no digits are lost to its size
+    shift = np.where(some, values[here.argmax(axis=0), np.arange(values.shape[1])], 0.0)
+    moved = np.where(here, values - shift, 0.0)
+    mask = here.astype(np.float64)
+    n = mask.T @ mask
+    safe = np.maximum(n, 1)
+    total = moved.T @ mask
+    mean = total / safe
+    squares = np.maximum((moved * moved).T @ mask - total * mean, 0)
+    products = moved.T @ moved - total * mean.T
+    low, high = np.full(n.shape, np.inf), np.full(n.shape, -np.inf)
+    whole = here.all(axis=0)
+    above, below = np.where(here, values, np.inf), np.where(here, values, -np.inf)
+    low[:, whole], high[:, whole] = above.min(axis=0)[:, None], below.max(axis=0)[:, None]
+    for j in np.flatnonzero(~whole & some):
+        rows = here[:, j]
+        low[:, j], high[:, j] = above[rows].min(axis=0), below[rows].max(axis=0)
+    return [n, mean + shift[:, None], squares, products, low, high]
+
+
+def _merged(one: list[np.ndarray] | None, other: list[np.ndarray]) -> list[np.ndarray]:
+    """Moments of both parts, from their distances to each other, not from sums of squares of all values."""
+    if one is None:
+        return other
+    n = one[0] + other[0]
+    safe = np.maximum(n, 1)
+    apart = np.where((one[0] > 0) & (other[0] > 0), other[1] - one[1], 0.0)
+    weight = one[0] * other[0] / safe
+    mean = np.where(one[0] == 0, other[1], one[1] + apart * other[0] / safe)
+    return [n, mean, one[2] + other[2] + apart**2 * weight, one[3] + other[3] + apart * apart.T * weight, np.minimum(one[4], other[4]), np.maximum(one[5], other[5])]
+
+
+def co_moments(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row per task and pair with complete rows in it (``MOMENTS``). NULL and NaN are missing."""
+    columns = list(columns)
+    place = {c: k for k, c in enumerate(columns)}
+    i, j = (np.array([place[pair[side]] for pair in pairs], dtype=np.int64) for side in (0, 1))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = None
+        for batch in batches:
+            if batch.num_rows:
+                state = _merged(state, _of_batch(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])))
+        if state is None:
+            return
+        n, mean, squares, products, low, high = state
+        found = np.flatnonzero(n[i, j] > 0)
+        a, b = i[found], j[found]
+        parts = [found.astype(np.int32), n[a, b].astype(np.int64), mean[a, b], mean[b, a], squares[a, b], squares[b, a], products[a, b], low[a, b], high[a, b], low[b, a], high[b, a]]
+        yield pa.RecordBatch.from_arrays([pa.array(p) for p in parts], names=[f.split()[0] for f in MOMENTS.split(", ")])
+
+    numbers = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    return numbers.mapInArrow(fold, MOMENTS)
+
+
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Lower triangle without the diagonal, all pairs in one pass: ``(x_name, y_name, r)``."""
+    """Lower triangle without the diagonal, all pairs in one pass: ``(x_name, y_name, r)``; NULL without spread."""
     pairs = lower_triangle(columns, diagonal=False)
-    results = pair_rows(df, pairs).groupBy("pair").agg(_plain_corr("x", "y").alias("r"))
-    return _all_pairs(results, pairs, ["r"])
+    blocks = stored(co_moments(df, columns, pairs), "co-moments")
+    means = blocks.groupBy("pair").agg(*[(F.sum(F.col("n") * F.col(f"m{v}")) / F.sum("n")).alias(f"g{v}") for v in "xy"])
+    centred = blocks.join(means, "pair")
+    dx, dy = F.col("mx") - F.col("gx"), F.col("my") - F.col("gy")
+    whole = centred.groupBy("pair").agg(
+        F.sum(F.col("cxx") + F.col("n") * dx * dx).alias("xx"),
+        F.sum(F.col("cyy") + F.col("n") * dy * dy).alias("yy"),
+        F.sum(F.col("cxy") + F.col("n") * dx * dy).alias("xy"),
+        ((F.min("lx") < F.max("hx")) & (F.min("ly") < F.max("hy"))).alias("spread"),
+    )
+    r = F.when(F.col("spread"), F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy")))
+    return _all_pairs(whole.select("pair", r.alias("r")), pairs, ["r"])
 
 
 def spearman(df: DataFrame, columns: Sequence[str], key: str = "ID", parts: int | None = None) -> DataFrame:

@@ -67,3 +67,25 @@ def test_batches(spark):
     df = spark.range(250).withColumnRenamed("id", "ID")
     sizes = {r["batch_id"]: r["n"] for r in ordering.with_batches(df, ["ID"], 100).groupBy("batch_id").agg(F.count("*").alias("n")).collect()}
     assert sizes == {0: 100, 1: 100, 2: 50}
+
+
+def test_pearson_blocks_with_gaps_and_constants(spark):
+    """Large offsets, missing values, columns without spread (in all rows, or in those of one pair), empty columns and tables."""
+    draw = np.random.default_rng(7)
+    n = 3000
+    a = 1e6 + draw.normal(size=n)
+    pdf = pd.DataFrame({"a": a, "b": a * 2 + draw.normal(size=n), "c": draw.normal(size=n), "k": np.full(n, 0.1), "h": np.where(np.arange(n) % 2, 0.3, draw.normal(size=n)), "e": np.full(n, np.nan)})
+    pdf.loc[draw.random(n) < 0.3, "b"] = np.nan
+    pdf.loc[np.arange(n) % 2 == 0, "c"] = np.nan  # where c is present, h is constant
+    names = list(pdf.columns)
+    rows = [tuple(None if v != v else float(v) for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(5)
+    want = pdf.corr()
+    got = {(r.x_name, r.y_name): r.r for r in correlation.pearson(df, names).collect()}
+    assert len(got) == 15
+    for (x, y), r in got.items():
+        if "k" in (x, y) or "e" in (x, y) or {x, y} == {"c", "h"}:
+            assert r is None
+        else:
+            assert abs(r - want.loc[x, y]) < 1e-9
+    assert [r.r for r in correlation.pearson(df.limit(0), ["a", "b"]).collect()] == [None]
