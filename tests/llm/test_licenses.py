@@ -1,7 +1,7 @@
 import pytest
 
 from loamfold.llm import queries
-from loamfold.llm.licenses import file_licenses, rare_terms
+from loamfold.llm.licenses import TEMPLATES, file_licenses, rare_terms
 
 from .sql import same_rows
 
@@ -35,6 +35,21 @@ def test_inheritance_and_odd_rows(spark):
         file_licenses(frame.withColumnRenamed("term", "score"), keep=("score",))
 
 
+def test_near_licences_are_told_apart(spark):
+    notices = [(i, n) for i, n in TEMPLATES if "BSD" not in i]
+    varied = [
+        ("LGPL-3.0", "# This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version."),
+        ("GPL-2.0", "* Licensed under the GNU General Public License, version 2 *"),
+        ("CC-BY-SA-4.0", "The text is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+        ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
+        ("MIT", "// Use of this source code is governed by an MIT-style license that can be found in the LICENSE file"),
+    ]
+    rows = [(f"d/{k}.txt", f"first line\n{text}\nlast") for k, (_, text) in enumerate(notices + varied)] + [(f"e/{k}.txt", "plain words of a file") for k in range(200)]
+    got = {r.path: r.own_license for r in file_licenses(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert [got[f"d/{k}.txt"] for k in range(len(notices + varied))] == [i for i, _ in notices + varied]
+    assert not any(v for k, v in got.items() if k.startswith("e/"))
+
+
 def test_rare_terms_are_needed():
     assert rare_terms({"a": 1.0, "b": 1.0, "c": 3.0}, 0.7) == {"c"}
     assert rare_terms({"a": 1.0, "b": 1.0}, 0.7) == {"a", "b"} - {"a"} or rare_terms({"a": 1.0, "b": 1.0}, 0.7) == {"a", "b"}
