@@ -1,5 +1,6 @@
 """Queries for readers, writers and the incremental store."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from loamfold.catalog.registry import Tables, query
@@ -169,18 +170,33 @@ def memo_table(t: Tables):
     "cache",
 )
 def stream_incremental_enrich(t: Tables):
-    """Three drops of records; after the first one the stream is stopped and started again."""
+    """Three drops of four files each. Two are read in one go, a batch per drop; in between the stream breaks and starts again."""
     cache = t.view("cache")
     root = fresh_path(t.spark, "stream")
     drops, store, checkpoint = f"{root}/drops", f"{root}/store", f"{root}/checkpoint"
+    calls = []
 
     def enrich(batch):
+        calls.append(batch)
+        # the first call asks for the schema alone; the second, of the first batch, breaks and comes again at the next start
+        if len(calls) == 2:
+            raise RuntimeError("broken on purpose")
         total = F.coalesce("a", F.lit(0.0)) + F.coalesce("b", F.lit(0.0))
         return batch.withColumn("total", total)
 
+    def run():
+        return enrich_available(t.spark, drops, store, checkpoint, cache.schema, "seq", enrich, files_per_batch=4)
+
     out = None
     for part in range(3):
-        cache.where(F.col("seq") % 3 == part).coalesce(1).write.mode("append").json(drops)
-        if part != 1:
-            out = enrich_available(t.spark, drops, store, checkpoint, cache.schema, "seq", enrich)
+        cache.where(F.col("seq") % 3 == part).repartition(4).write.mode("append").json(drops)
+        if part == 0:
+            try:
+                run()
+            except StreamingQueryException:
+                out = run()
+            else:
+                raise AssertionError("the broken batch was taken for done")
+        elif part == 2:
+            out = run()
     return out

@@ -2,30 +2,63 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loamfold.operators.columns import any_of
-from loamfold.operators.ordering import latest_per_key
 from loamfold.sources.readers import exists
 
-#: Parts of the store, by a hash of the key.
-PARTS = 64
+#: Times keep their microseconds on the way through a record's text.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def read_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
     """The store without its batch column; empty before the first batch."""
     if not exists(spark, store):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(store).drop("batch", "part")
+    return spark.read.schema(schema).parquet(store).drop("batch")
 
 
-def part_of(key: str) -> Column:
-    """The part of the store that a key belongs to."""
-    return F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int").alias("part")
+def _newest_once(key: tuple[Any], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The newest record of a key in the batch it first appears in; nothing in later batches. One record is held at a time."""
+    if state.exists:
+        return
+    best = None
+    for frame in frames:
+        if frame.empty:
+            continue
+        newest = frame.sort_values(["_ordered", "_order", "_record"]).iloc[-1]
+        found = (newest["_ordered"], newest["_order"], newest["_record"])
+        best = found if best is None else max(best, found)
+    if best is not None:
+        state.update((True,))
+        yield pd.DataFrame({"record": [best[2]]})
+
+
+def first_records(stream: DataFrame, key: str, order: str) -> DataFrame:
+    """``record`` (JSON) of each key of a stream once: the usable one that is last by ``order`` in the key's first batch.
+
+    Keyed state says which keys have been given out: one flag per key, kept with the checkpoint for good and
+    divided over the shuffle partitions of the first start. A record without any value is not usable. Equal orders: the greatest
+    text; a null order comes before all others; a null key is a key.
+    """
+    values = [F.col(c).isNotNull() for c in stream.columns if c not in (key, order)]
+    kind = stream.schema[order].dataType
+    some = "1970-01-01" if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else "0"
+    records = stream.where(any_of(values)).select(
+        F.col(key).alias("_key"),
+        F.col(order).isNotNull().alias("_ordered"),
+        # no nulls in it, so that whole numbers stay whole
+        F.coalesce(F.col(order), F.lit(some).cast(kind)).alias("_order"),
+        F.to_json(F.struct(*stream.columns), TIMES).alias("_record"),
+    )
+    return records.groupBy("_key").applyInPandasWithState(_newest_once, "record string", "given boolean", "append", GroupStateTimeout.NoTimeout)
 
 
 def enrich_available(
@@ -37,34 +70,29 @@ def enrich_available(
     order: str,
     enrich: Callable[[DataFrame], DataFrame],
     key: str = "ID",
-    files_per_batch: int = 1,
+    files_per_batch: int = 1000,
 ) -> DataFrame:
     """Process every record that has been dropped so far, then stop; a later call resumes.
 
     A record without any value is not stored, so its id stays open. Within a
     batch the latest usable record per id wins, across batches the first stored one.
-    A batch writes its own folder, so a replay after a failure replaces it. Folders are
-    divided by a hash of the key, and a batch reads only the parts its keys fall into.
+    The store is only written: which ids are done is keyed state. A batch writes its own
+    folder, so a replay after a failure replaces it. Store and checkpoint belong
+    together; a store whose checkpoint is gone is an error.
     """
+    if exists(spark, store) and not exists(spark, checkpoint):
+        raise ValueError(f"{store} has records, but its checkpoint {checkpoint} is missing")
     out_schema = enrich(spark.createDataFrame([], schema)).schema
-    values = [f.name for f in schema.fields if f.name not in (key, order)]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        usable = batch.where(any_of([F.col(c).isNotNull() for c in values]))
-        newest = latest_per_key(usable, key, order)
-        if exists(spark, store):
-            # at most PARTS numbers; they prune the folders that are read
-            touched = [row[0] for row in newest.select(part_of(key)).distinct().collect()]
-            done = spark.read.schema(f"{key} {schema[key].dataType.simpleString()}, batch long, part int").parquet(store)
-            earlier = done.where(F.col("part").isin(touched) & (F.col("batch") != batch_id)).select(key)
-            newest = newest.join(earlier, key, "left_anti")
-        enrich(newest).withColumn("part", part_of(key)).write.mode("overwrite").partitionBy("part").parquet(f"{store}/batch={batch_id}")
+        rows = batch.select(F.from_json("record", schema, TIMES).alias("r")).select("r.*")
+        enrich(rows).write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
 
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(drops)
     query = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(drops)
+        first_records(stream, key, order)
         .writeStream.foreachBatch(write_batch)
+        .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,5 +1,8 @@
 """Readers, writers, the memo table and the resumable stream on broken input."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from loamfold.operators import joins
@@ -82,3 +85,33 @@ def test_stream_resumes_and_skips_done_ids(spark):
     assert run().count() == 1
     drop([(1, 4, 9.0), (2, 5, 7.0)])
     assert sorted((r["ID"], r["a"]) for r in run().collect()) == [(1, 6.0), (2, 7.0)]
+
+
+def test_stream_of_several_files_is_replayed_without_doubles(spark):
+    root = fresh_path(spark, "stream")
+    schema = spark.createDataFrame([], "ID long, seq long, at timestamp, a double").schema
+    drops, store, checkpoint = f"{root}/drops", f"{root}/store", f"{root}/checkpoint"
+
+    def drop(rows):
+        # times with microseconds, a null order, a null key, long numbers
+        spark.createDataFrame(rows, "ID long, seq long, at string, a double").repartition(3).write.mode("append").json(drops)
+
+    def run():
+        out = enrich_available(spark, drops, store, checkpoint, schema, "seq", lambda df: df.withColumn("us", F.date_format("at", "SSSSSS")))
+        return sorted(((r["ID"], r["seq"], r["a"], r["us"]) for r in out.collect()), key=repr)
+
+    big = 2**60 + 1
+    drop([(1, big, "2024-01-01T00:00:00.000123Z", 1.0), (1, None, None, 2.0), (1, big - 1, None, 3.0), (None, 7, None, 4.0), (3, None, None, 8.0), (2, 1, None, None)])
+    first = [(1, big, 1.0, "000123"), (3, None, 8.0, None), (None, 7, 4.0, None)]
+    assert run() == first
+    drop([(1, 2**61, None, 9.0), (None, 8, None, 9.0), (2, 5, None, 5.0), (2, 6, None, 6.0)])
+    second = sorted([*first, (2, 6, 6.0, None)], key=repr)
+    assert run() == second
+    # the last batch was written but not marked as done: it comes again and replaces its folder
+    last = max((int(name) for name in os.listdir(f"{checkpoint}/commits") if name.isdigit()))
+    for name in (f"{last}", f".{last}.crc"):
+        if os.path.exists(f"{checkpoint}/commits/{name}"):
+            os.remove(f"{checkpoint}/commits/{name}")
+    assert run() == second
+    with pytest.raises(ValueError, match="checkpoint"):
+        enrich_available(spark, drops, store, f"{root}/other", schema, "seq", lambda df: df)
