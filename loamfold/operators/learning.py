@@ -8,6 +8,8 @@ aggregate pass; boosted trees are in ``trees``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -16,8 +18,12 @@ from pyspark.sql import functions as F
 
 from loamfold.functions.fixed import FOLDS, SEED
 from loamfold.functions.nulls import clip_lower, from_log, log_positive
+from loamfold.operators import spatial
 from loamfold.session import side_by_side, stored
 
+#: Degrees, and part of a cost, within which a settled k-means run may differ from its optimum by rounding.
+SETTLED = 1e-9
+
 
 # --- straight line per target and fold -------------------------------------------------
 
@@ -192,12 +198,49 @@ def best_stage(macro: DataFrame) -> DataFrame:
 # --- clustering -------------------------------------------------------------------------
 
 
-def fit_centres(points: DataFrame, k: int, restarts: int = 10, seed: int = SEED) -> DataFrame:
-    """Centres of the k-means run with the lowest cost over several seeds: ``(cluster, c_lat, c_lon)``.
+@dataclass(frozen=True)
+class Centres:
+    """A settled k-means run: its centres, the distinct places with weight and centre, and what each restart had reached."""
+
+    centres: DataFrame
+    placed: DataFrame
+    restart_costs: list[float]
+
+    def check(self) -> DataFrame:
+        """One row: places and their weight, places that another centre is nearer to, used centres that are not the
+        weighted mean of their places, and restarts with a lower cost. A settled run has 0 in the last three."""
+        near = spatial.nearest_centre(self.placed.withColumnRenamed("cluster", "_own"), self.centres, F.col("Latitude"), F.col("Longitude"))
+        named = self.centres.withColumnRenamed("cluster", "_own")
+        away = F.pow(F.col("Latitude") - F.col("c_lat"), 2) + F.pow(F.col("Longitude") - F.col("c_lon"), 2)
+        own = near.join(named, "_own").withColumn("_away", away)
+        by_centre = own.groupBy("_own").agg(
+            F.count("*").alias("places"),
+            F.sum("weight").alias("weight"),
+            # a place as near to two centres may belong to either
+            F.count_if(F.sqrt("_away") > F.col("centre_distance") + SETTLED).alias("misplaced"),
+            (F.abs(F.sum(F.col("weight") * F.col("Latitude")) / F.sum("weight") - F.first("c_lat")) > SETTLED).alias("off_lat"),
+            (F.abs(F.sum(F.col("weight") * F.col("Longitude")) / F.sum("weight") - F.first("c_lon")) > SETTLED).alias("off_lon"),
+            F.sum(F.col("weight") * F.col("_away")).alias("cost"),
+        )
+        lower = [F.when(F.sum("cost") > F.lit(c) * (1 + SETTLED) + SETTLED, 1).otherwise(0) for c in self.restart_costs]
+        return by_centre.agg(
+            F.count("*").alias("used_centres"),
+            F.sum("places").alias("places"),
+            F.sum("weight").cast("long").alias("weight"),
+            F.sum("misplaced").alias("misplaced"),
+            F.count_if(F.col("off_lat") | F.col("off_lon")).alias("moved_centres"),
+            reduce(lambda x, y: x + y, lower, F.lit(0)).alias("cheaper_restarts"),
+        )
+
 
-    Missing coordinates count as 0. Equal places are weighted, not repeated.
+def settle_centres(points: DataFrame, k: int, restarts: int = 10, seed: int = SEED, rounds: int = 300) -> Centres:
+    """The k-means run with the lowest cost over several seeds, carried on until its centres rest.
+
+    Missing coordinates count as 0. Equal places are weighted, not repeated. A round assigns every place to its nearest
+    centre and brings k means to the driver. A centre without places stays where it is. No rows give no centres.
     """
-    places = (
+    spark = points.sparkSession
+    grouped = (
         points.select(
             F.coalesce("Latitude", F.lit(0.0)).alias("Latitude"), F.coalesce("Longitude", F.lit(0.0)).alias("Longitude")
         )
@@ -205,16 +248,33 @@ def fit_centres(points: DataFrame, k: int, restarts: int = 10, seed: int = SEED)
         .agg(F.count("*").cast("double").alias("weight"))
         .sort("Latitude", "Longitude")
     )
-    vectors = VectorAssembler(inputCols=["Latitude", "Longitude"], outputCol="_place").transform(
-        stored(places, "places")
-    )
+    places = stored(grouped, "places")
+    kinds = "cluster int, c_lat double, c_lon double"
+    if places.isEmpty():
+        return Centres(spark.createDataFrame([], kinds), places.withColumn("cluster", F.lit(None).cast("int")), [])
+    vectors = VectorAssembler(inputCols=["Latitude", "Longitude"], outputCol="_place").transform(places)
     vectors.persist()
 
     def fit(attempt: int):
         model = KMeans(k=k, seed=seed + attempt, featuresCol="_place", weightCol="weight").fit(vectors)
         return model.summary.trainingCost, attempt, model
 
-    best = min(side_by_side(points.sparkSession, fit, range(restarts)), key=lambda run: run[:2])[2]
+    runs = side_by_side(spark, fit, range(restarts))
+    centres = [(i, float(c[0]), float(c[1])) for i, c in enumerate(min(runs, key=lambda run: run[:2])[2].clusterCenters())]
     vectors.unpersist()
-    rows = [(i, float(c[0]), float(c[1])) for i, c in enumerate(best.clusterCenters())]
-    return points.sparkSession.createDataFrame(rows, "cluster int, c_lat double, c_lon double")
+    mean = [(F.sum(F.col("weight") * F.col(c)) / F.sum("weight")).alias(c) for c in ("Latitude", "Longitude")]
+    for _ in range(rounds):
+        table = spark.createDataFrame(centres, kinds)
+        placed = spatial.nearest_centre(places, table, F.col("Latitude"), F.col("Longitude"))
+        means = {row["cluster"]: (row["Latitude"], row["Longitude"]) for row in placed.groupBy("cluster").agg(*mean).collect()}
+        following = [(i, *means.get(i, (lat, lon))) for i, lat, lon in centres]
+        gap = max(max(abs(a[1] - b[1]), abs(a[2] - b[2])) for a, b in zip(centres, following))
+        if gap <= SETTLED / 10:
+            return Centres(table, placed.select("Latitude", "Longitude", "weight", "cluster"), [run[0] for run in runs])
+        centres = following
+    raise RuntimeError(f"centres still move after {rounds} rounds")
+
+
+def fit_centres(points: DataFrame, k: int, restarts: int = 10, seed: int = SEED) -> DataFrame:
+    """The centres of ``settle_centres``: ``(cluster, c_lat, c_lon)``."""
+    return settle_centres(points, k, restarts, seed).centres

@@ -165,6 +165,32 @@ def test_centres(spark):
     assert len(found) == 3 and found[0] == (-29.9, 10.1)
 
 
+def test_centres_rest_where_brute_force_leaves_them(spark):
+    points = [(float(i * 37 % 101) / 3, float(i * 53 % 97) / 7) for i in range(300)] + [(None, 5.0)] * 4
+    df = spark.createDataFrame(points, "Latitude double, Longitude double")
+    run = learning.settle_centres(df, 6, restarts=4)
+    centres = [(r["c_lat"], r["c_lon"]) for r in run.centres.sort("cluster").collect()]
+    groups, cost = {}, 0.0
+    for lat, lon in ((x or 0.0, y or 0.0) for x, y in points):
+        d, i = min(((lat - a) ** 2 + (lon - b) ** 2, i) for i, (a, b) in enumerate(centres))
+        groups.setdefault(i, []).append((lat, lon))
+        cost += d
+    for i, members in groups.items():
+        assert all(abs(sum(m[side] for m in members) / len(members) - centres[i][side]) < 1e-9 for side in (0, 1))
+    assert cost <= min(run.restart_costs) * (1 + 1e-9)
+    fine = run.check().first().asDict()
+    assert (fine["used_centres"], fine["weight"], fine["misplaced"], fine["moved_centres"], fine["cheaper_restarts"]) == (len(groups), 304, 0, 0, 0)
+    # a centre put elsewhere, and a restart that had done better, are noticed
+    shifted = run.centres.withColumn("c_lat", F.col("c_lat") + F.when(F.col("cluster") == 0, 1.5).otherwise(0.0))
+    worse = learning.Centres(shifted, run.placed, [cost / 2]).check().first()
+    assert worse["moved_centres"] == 1 and worse["misplaced"] > 0 and worse["cheaper_restarts"] == 1
+
+
+def test_no_points_no_centres(spark):
+    none = spark.createDataFrame([], "Latitude double, Longitude double")
+    assert learning.fit_centres(none, 3).isEmpty()
+
+
 NAMES = [f"Target_{x}" for x in TARGETS]
 
 
