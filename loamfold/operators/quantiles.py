@@ -20,6 +20,8 @@ from loamfold.operators.ordering import cumulated
 from loamfold.session import stored
 
 ACCURACY = 1000
+#: Rows that a group of ``many_medians`` may have; its buffers then stay below some ten megabytes a column.
+MOST = 100_000
 
 
 def _doubles(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -132,10 +134,12 @@ def exact_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
     return medians.groupBy(*keys).agg(*[F.max(F.when(F.col("metric") == c, F.col("q0"))).alias(c) for c in columns])
 
 
-def many_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Exact medians of very many groups, each of a bounded number of rows: ``(*keys, *columns)``.
+def many_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str], most: int = MOST) -> DataFrame:
+    """Exact medians of very many groups, each of at most ``most`` rows: ``(*keys, *columns)``; a larger group is an error.
 
-    The caller states the bound. One buffer per group and column holds its distinct values with their counts;
-    groups without one use ``exact_medians``.
+    One buffer per group and column holds its distinct values with their counts. Groups without such a bound use
+    ``exact_medians``.
     """
-    return df.groupBy(*keys).agg(*[F.median(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in columns])
+    held = df.groupBy(*keys).agg(F.count("*").alias("_rows"), *[F.median(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in columns])
+    over = F.raise_error(F.format_string("a group has %d rows, more than %d; use exact_medians", F.col("_rows"), F.lit(most))).cast("double")
+    return held.select(*keys, *[F.when(F.col("_rows") > most, over).otherwise(F.col(c)).alias(c) for c in columns])

@@ -58,8 +58,8 @@ def satellite_features(
 
     ``scenes``: ``(pixel_id, sensor, ts, cloud_pct, bands by role)``; ``pixels``:
     ``(pixel_id, Latitude, Longitude)``. Work is done per distinct place and window and
-    handed to the points at the end. A sensor images a pixel once a day at most, so a composite
-    has at most 366 scenes a year. Means are not weighted by edge coverage.
+    handed to the points at the end. A composite may have
+    ``quantiles.MOST`` scenes, far more than one a day; more are an error. Means are not weighted by edge coverage.
     """
     nowhere = any_of([F.col(c).isNull() for c in PLACE])
     dated = points.where(~nowhere).withColumn("sensor", sensor_for_year(F.col("start_year")))

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from loamfold.operators import quantiles
@@ -75,3 +76,10 @@ def test_many_medians_equal_numpy(frame):
     assert set(got) == set(want)
     for k, values in want.items():
         assert got[k] is None if np.isnan(values).all() else got[k] == pytest.approx(np.nanmedian(values))
+
+
+def test_many_medians_refuse_a_group_beyond_their_bound(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 1.0), ("b", 2.0), ("b", None)], "k string, v double")
+    assert {r["k"]: r["v"] for r in quantiles.many_medians(df, ["v"], ["k"], most=3).collect()} == {"a": 2.0, "b": 1.5}
+    with pytest.raises(PySparkException, match="a group has 3 rows, more than 2"):
+        quantiles.many_medians(df, ["v"], ["k"], most=2).collect()
