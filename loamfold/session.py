@@ -57,6 +57,24 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Paths that ``stored`` has written to and ``clear_stored`` has not removed.
+_STORED: list[str] = []
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Remove the tables that ``stored`` wrote in this process, and return how many there were.
+
+    Results are lazy and read these tables, so write a result out before calling this. Tables of other processes in the
+    shared folder, and the folder itself, are left alone.
+    """
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        removed += bool(path.getFileSystem(context).delete(path, True))
+    return removed
+
+
 def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -66,6 +84,7 @@ def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataF
     ``spark.sql.autoBroadcastJoinThreshold`` and is a shuffle join otherwise.
     """
     path = fresh_path(df.sparkSession, label)
+    _STORED.append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamfold.operators import joins
-from loamfold.session import fresh_path, shared_folder, stored
+from loamfold.session import clear_stored, fresh_path, shared_folder, stored
 from loamfold.sources import readers, writers
 from loamfold.streaming.enrich import enrich_available
 
@@ -24,6 +24,18 @@ def test_stored_keeps_rows_and_schema(spark):
     assert back.exceptAll(df).isEmpty() and back.count() == 5
 
 
+def test_clearing_removes_what_was_stored_and_nothing_else(spark):
+    clear_stored(spark)
+    mine, other = stored(spark.range(3), "mine"), fresh_path(spark, "other")
+    spark.range(2).write.parquet(other)
+    kept = fresh_path(spark, "kept")
+    mine.where("id > 0").write.parquet(kept)
+    (path,) = {name.rsplit("/", 1)[0] for name in mine.inputFiles()}
+    assert readers.exists(spark, path) and clear_stored(spark) == 1
+    assert not readers.exists(spark, path) and clear_stored(spark) == 0
+    assert spark.read.parquet(kept).count() == 2 and spark.read.parquet(other).count() == 2
+
+
 def test_json_lines_skip_broken_ones(spark):
     path = fresh_path(spark, "lines")
     lines = ['{"ID": 1, "a": 2.0}', '{"ID": 2, "b": 3.0}', '{"ID": 3, "a"', "garbage", '{"ID": 4}']
