@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loamfold.operators.columns import any_of
 from loamfold.sources.readers import exists
@@ -25,40 +22,22 @@ def read_store(spark: SparkSession, store: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(store).drop("batch")
 
 
-def _newest_once(key: tuple[Any], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The newest record of a key in the batch it first appears in; nothing in later batches. One record is held at a time."""
-    if state.exists:
-        return
-    best = None
-    for frame in frames:
-        if frame.empty:
-            continue
-        newest = frame.sort_values(["_ordered", "_order", "_record"]).iloc[-1]
-        found = (newest["_ordered"], newest["_order"], newest["_record"])
-        best = found if best is None else max(best, found)
-    if best is not None:
-        state.update((True,))
-        yield pd.DataFrame({"record": [best[2]]})
-
-
 def first_records(stream: DataFrame, key: str, order: str) -> DataFrame:
     """``record`` (JSON) of each key of a stream once: the usable one that is last by ``order`` in the key's first batch.
 
-    Keyed state says which keys have been given out: one flag per key, kept with the checkpoint for good and
-    divided over the shuffle partitions of the first start. A record without any value is not usable. Equal orders: the greatest
-    text; a null order comes before all others; a null key is a key.
+    Keyed state holds, for good and divided over the shuffle partitions of the first start, the newest record of each key
+    and the times of the first and the last batch it was in; a key in its first batch has been in no other. A batch that
+    is repeated has the time of its first try. A record without any value is not usable. Equal orders: the greatest text;
+    a null order comes before all others; a null key is a key.
     """
     values = [F.col(c).isNotNull() for c in stream.columns if c not in (key, order)]
-    kind = stream.schema[order].dataType
-    some = "1970-01-01" if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else "0"
     records = stream.where(any_of(values)).select(
         F.col(key).alias("_key"),
-        F.col(order).isNotNull().alias("_ordered"),
-        # no nulls in it, so that whole numbers stay whole
-        F.coalesce(F.col(order), F.lit(some).cast(kind)).alias("_order"),
-        F.to_json(F.struct(*stream.columns), TIMES).alias("_record"),
+        F.struct(F.col(order).alias("order"), F.to_json(F.struct(*stream.columns), TIMES).alias("record")).alias("_newest"),
+        F.current_timestamp().alias("_batch"),
     )
-    return records.groupBy("_key").applyInPandasWithState(_newest_once, "record string", "given boolean", "append", GroupStateTimeout.NoTimeout)
+    known = records.groupBy("_key").agg(F.max("_newest").alias("newest"), F.min("_batch").alias("first"), F.max("_batch").alias("last"))
+    return known.where(F.col("first") == F.col("last")).select(F.col("newest.record").alias("record"))
 
 
 def enrich_available(
@@ -92,7 +71,7 @@ def enrich_available(
     query = (
         first_records(stream, key, order)
         .writeStream.foreachBatch(write_batch)
-        .outputMode("append")
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
