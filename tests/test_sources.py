@@ -1,9 +1,11 @@
 """Readers, writers, the memo table and the resumable stream on broken input."""
 
 import os
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loamfold.operators import joins
 from loamfold.session import clear_stored, fresh_path, shared_folder, stored
@@ -127,3 +129,38 @@ def test_stream_of_several_files_is_replayed_without_doubles(spark):
     assert run() == second
     with pytest.raises(ValueError, match="checkpoint"):
         enrich_available(spark, drops, store, f"{root}/other", schema, "seq", lambda df: df)
+
+
+def test_documents_are_written_by_many_tasks(spark):
+    path = fresh_path(spark, "docs")
+    docs = spark.range(0, 64, 1, 1).select(F.col("id").cast("string").alias("key"), F.lit("{}").alias("text"))
+    writers.write_documents(docs, path)
+    tasks = F.regexp_extract(F.col("path"), r"part-(\d+)-", 1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(tasks.alias("task"))
+    assert files.count() == 64
+    assert files.distinct().count() > 4
+    assert {r["key"] for r in readers.read_documents(spark, path, r"key=([^/]+)/").collect()} == {str(i) for i in range(64)}
+
+
+def test_first_records_of_a_stream(spark):
+    """The newest record of the first batch, chosen without a Python process: equal orders, null orders, null keys, later batches."""
+    root = fresh_path(spark, "first")
+    schema = T.StructType.fromDDL("ID long, seq long, a string")
+    batches = [
+        [(1, 5, "x"), (1, 5, "y"), (1, 4, "z"), (2, None, "n"), (2, 0, "o"), (3, None, "b"), (3, None, "a"), (4, 9, None), (None, 1, "p")],
+        [(1, 6, "late"), (4, 1, "open"), (None, 2, "late"), (5, 1, "new")],
+        [(1, 7, "late"), (4, 2, "late"), (2, 3, "late")],
+    ]
+    plans = []
+
+    def enrich(df):
+        plans.append(df._jdf.queryExecution().toString())
+        return df
+
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(f"{root}/drops")
+        out = enrich_available(spark, f"{root}/drops", f"{root}/store", f"{root}/checkpoint", schema, "seq", enrich)
+    found = sorted(((r["ID"], r["seq"], r["a"]) for r in out.collect()), key=str)
+    assert found == sorted([(1, 5, "y"), (2, 0, "o"), (3, None, "b"), (4, 1, "open"), (None, 1, "p"), (5, 1, "new")], key=str)
+    states = "".join(p.read_text() for p in pathlib.Path(f"{root}/checkpoint/state").rglob("metadata") if p.is_file())
+    assert "stateStoreSave" in states and "applyInPandas" not in states and "GroupsWithState" not in states
