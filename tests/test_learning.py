@@ -232,3 +232,13 @@ def test_schema_diff(spark):
 
 def tables_diff(df):
     return tables.schema_diff(df, ["ID", "gone"]).collect()
+
+
+def test_rows_carry_the_features_of_their_own_target(spark):
+    train = spark.createDataFrame([(i, "b", 1.0, None if i % 3 else 2.0, 0.5, 10.0 + i, 20.0 + i) for i in range(9)], "ID long, spatial_block string, t0 double, t1 double, x double, f0 double, f1 double")
+    table = spark.createDataFrame([("t0", "b", 0), ("t1", "b", 1)], "target string, spatial_block string, fold int")
+    rows = training._rows(train, table, ["t0", "t1"], {"t0": ["x", "f0"], "t1": ["x", "f1"]}).collect()
+    assert sorted((r["ID"], r["target"], r["fold"]) for r in rows) == sorted([(i, "t0", 0) for i in range(9)] + [(i, "t1", 1) for i in range(0, 9, 3)])
+    for r in rows:
+        own, other = ("f0", "f1") if r["target"] == "t0" else ("f1", "f0")
+        assert r["x"] == 0.5 and r[own] == (10.0 if own == "f0" else 20.0) + r["ID"] and r[other] is None
