@@ -133,13 +133,16 @@ def year_window(start_year: Column, end_year: Column) -> tuple[Column, Column]:
 def scenes_in_windows(windows: DataFrame, scenes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each window ``(*keys, start_year, end_year, …)`` with its scenes ``(*keys, ts, …)``.
 
-    A window is dealt to its years and meets only scenes of its keys and those years; the one day that the last year
-    lacks is a condition on the joined rows. No other pair is formed.
+    The windows of a key, of which there are no more than pairs of years where they are distinct, meet its scenes as one
+    list, and a scene is repeated only for those it lies in. Groups that hold all keys need no shuffle of the result.
     """
-    _, end = year_window(F.col("start_year"), F.col("end_year"))
-    years = F.when(F.col("start_year") <= F.col("end_year"), F.sequence("start_year", "end_year"))
-    dealt = windows.withColumn("_end", end).withColumn("_year", F.explode(years))
-    return dealt.join(scenes.withColumn("_year", F.year("ts")), [*keys, "_year"]).where(F.col("ts") < F.col("_end")).drop("_year", "_end")
+    keys = list(keys)
+    named = [c for c in windows.columns if c not in keys]
+    first, end = year_window(F.col("start_year"), F.col("end_year"))
+    listed = windows.groupBy(*keys).agg(F.collect_list(F.struct(*named, first.alias("_first"), end.alias("_end"))).alias("_windows"))
+    met = scenes.join(listed, keys).withColumn("_windows", F.filter("_windows", lambda w: in_window(F.col("ts"), w["_first"], w["_end"])))
+    found = met.withColumn("_window", F.explode("_windows"))
+    return found.select(*keys, *[F.col("_window")[c].alias(c) for c in named], *[c for c in scenes.columns if c not in keys])
 
 
 def centre_list(centres: DataFrame) -> list[tuple[int, float, float]]:

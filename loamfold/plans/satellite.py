@@ -42,10 +42,13 @@ def recent_composite(scenes: DataFrame) -> DataFrame:
 def dated_composite(windows: DataFrame, scenes: DataFrame) -> DataFrame:
     """Per pixel and distinct window the median of each band.
 
-    ``windows`` is ``(pixel_id, start_year, end_year, sensor)``. A window meets only the scenes of its own pixel, sensor
-    and years.
+    ``windows`` is ``(pixel_id, start_year, end_year, sensor)``. A window meets only the scenes of its own pixel and
+    sensor. Scenes are dealt by these, once each, before they are repeated for their windows, so that no buffer of a
+    median is moved.
     """
-    return many_medians(scenes_in_windows(windows, scenes.where(clear_enough()), ["pixel_id", "sensor"]), ROLES, ["pixel_id", *WINDOW])
+    keys = ["pixel_id", "sensor"]
+    clear = scenes.where(clear_enough()).select(*keys, "ts", *ROLES).repartition(*keys)
+    return many_medians(scenes_in_windows(windows, clear, keys), ROLES, ["pixel_id", *WINDOW])
 
 
 def satellite_features(
