@@ -1,5 +1,6 @@
 """Radius join against brute force, also across the date line and near the poles."""
 
+import datetime
 import math
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamfold.operators import spatial
+from loamfold.plans import satellite
 
 
 def haversine(a, b):
@@ -73,3 +75,18 @@ def test_composites_equal_a_plain_join(tables):
     round_off = lambda df: df.select("pixel_id", *WINDOW, *[F.round(c, 9).alias(c) for c in ROLES])
     assert want.count() > 0
     assert round_off(want).exceptAll(round_off(got)).isEmpty() and round_off(got).exceptAll(round_off(want)).isEmpty()
+
+
+def test_windows_meet_their_scenes_and_medians_are_not_moved(spark):
+    windows = [("p", "S2", 2015, 2016), ("p", "S2", 2016, 2016), ("p", "S2", 2017, 2016), ("p", "L8", 2015, 2015), ("q", "S2", None, 2016), (None, "S2", 2015, 2016)]
+    days = ["2014-12-31", "2015-01-01", "2015-12-31", "2016-01-01", "2016-12-30", "2016-12-31"]
+    scenes = [(p, s, datetime.date.fromisoformat(d), 0, *([float(i)] * len(satellite.ROLES))) for p in ("p", "q", None) for s in ("S2", "L8") for i, d in enumerate(days)]
+    some = spark.createDataFrame(windows, "pixel_id string, sensor string, start_year int, end_year int")
+    all_scenes = spark.createDataFrame(scenes, "pixel_id string, sensor string, ts date, cloud_pct long, " + ", ".join(f"{r} double" for r in satellite.ROLES))
+    met = spatial.scenes_in_windows(some, all_scenes, ["pixel_id", "sensor"])
+    found = sorted((r["sensor"], r["start_year"], r["end_year"], r["ts"].isoformat()) for r in met.collect())
+    assert found == sorted([*[("S2", 2015, 2016, d) for d in days[1:5]], *[("S2", 2016, 2016, d) for d in days[3:5]], ("L8", 2015, 2015, days[1])])
+    composed = satellite.dated_composite(some, all_scenes)
+    assert {(r["sensor"], r["start_year"]): r["red"] for r in composed.collect()} == {("S2", 2015): 2.5, ("S2", 2016): 3.5, ("L8", 2015): 1.0}
+    plan = composed._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "start_year" in line]
