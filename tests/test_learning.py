@@ -121,6 +121,16 @@ def test_the_sample_of_a_fit_is_bounded_and_depends_on_ids(forest):
     assert few.exceptAll(again).isEmpty() and again.exceptAll(few).isEmpty()
 
 
+def test_rows_of_a_target_are_read_once_for_all_folds(forest):
+    """Nothing is stored per target and row, and the rows of a target are not read again for each of its folds."""
+    plan, rows, fitted = forest
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    assert scans(fitted.oof(rows)) == len(SOME) < len(fitted.fits)
+    assert scans(rows.where(F.col("target") == SOME[0])) == 1
+    dealt = rows.sparkSession.read.parquet(*{f.rsplit("/", 1)[0] for f in rows.inputFiles()})
+    assert dealt.count() == plan.train.count() < rows.count()
+
+
 def test_second_stage_of_trees(forest):
     plan, _, _ = forest
     first, second = plan.both()
