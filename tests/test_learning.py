@@ -252,3 +252,14 @@ def test_rows_carry_the_features_of_their_own_target(spark):
     for r in rows:
         own, other = ("f0", "f1") if r["target"] == "t0" else ("f1", "f0")
         assert r["x"] == 0.5 and r[own] == (10.0 if own == "f0" else 20.0) + r["ID"] and r[other] is None
+
+
+def test_fits_see_all_rows_outside_their_fold(spark):
+    """However many there are: the roots of the first trees have them all, in one task or several, with and without early stopping."""
+    n = 2 * trees.TASK_ROWS + 1000
+    each = spark.range(n).select(F.col("id").alias("ID"), (F.col("id") % 7).cast("double").alias("x"), F.log1p(F.col("id") % 5).alias("y_log"), (F.col("id") % 2).cast("int").alias("fold"))
+    rows = each.withColumn("target", F.lit("t0")).unionByName(each.where("ID < 24001").withColumn("target", F.lit("t1")))
+    for stop_early in (False, True):
+        fitted = trees.fit_forest(rows, {"t0": ["x"], "t1": ["x"]}, folds=2, stop_early=stop_early, maxIter=2, maxDepth=1, subsamplingRate=1.0)
+        roots = {(f.target, f.fold): f.model.stages[-1].trees[0]._call_java("rootNode").impurityStats().rawCount() for f in fitted.fits}
+        assert roots == {("t0", 0): n // 2, ("t0", 1): n // 2, ("t1", 0): 12000, ("t1", 1): 12001}
